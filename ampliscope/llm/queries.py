@@ -6,17 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampliscope.llm import quartile_digest
+from ampliscope.llm import quartile_digest, simhash, url_filter
 from ampliscope.llm.common import read
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.fingerprints(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_document_fingerprints": op10_document_fingerprints}
+    return {
+        "op2_url_filters": op2_url_filters,
+        "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op10_document_fingerprints": op10_document_fingerprints,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filters": url_filter.SQL}
