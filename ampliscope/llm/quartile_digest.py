@@ -122,8 +122,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
-    laid = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    by_id = F.col("doc_id").desc_nulls_last()
+    # ranges of doc_id alone, as the keys that are sampled for them go to the driver
+    laid = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(by_id).sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
     done = materialize(laid.mapInArrow(_along, f"{RESULT}, part int, end string, text string"), "digests")
     # One number a range: as many as the shuffle has partitions.
     parts = sorted(r.part for r in done.where("end = 'first'").select("part").collect())
