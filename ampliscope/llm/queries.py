@@ -6,29 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampliscope.llm import quartile_digest, simhash, url_filter
+from ampliscope.llm import langid, mixing, packing, quality, quartile_digest, simhash, url_filter
 from ampliscope.llm.common import read
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.fingerprints(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_url_filters": op2_url_filters,
+        "op6_source_mixing": op6_source_mixing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_document_fingerprints": op10_document_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": url_filter.SQL}
+    return {"op2_url_filters": url_filter.SQL, "op6_source_mixing": mixing.SQL}
