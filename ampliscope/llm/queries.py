@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampliscope.llm import langid, mixing, packing, quality, quartile_digest, simhash, url_filter
+from ampliscope.llm import langid, mixing, packing, quality, quartile_digest, simhash, toxicity, url_filter
 from ampliscope.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_url_filters": op2_url_filters,
+        "op3_toxicity": op3_toxicity,
         "op6_source_mixing": op6_source_mixing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
