@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampliscope.llm import cover_tree, langid, mixing, packing, quality, quartile_digest, simhash, toxicity, url_filter
+from ampliscope.llm import cover_tree, langid, mixing, packing, quality, quartile_digest, simhash, token_coder, toxicity, url_filter
 from ampliscope.llm.common import read
 
 
@@ -22,6 +22,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_coder.round_trip(read(spark, sf_dir, "documents"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(read(spark, sf_dir, "embeddings"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op2_url_filters": op2_url_filters,
         "op3_toxicity": op3_toxicity,
+        "op4_token_ids": op4_token_ids,
         "op5_exact_top_k": op5_exact_top_k,
         "op6_source_mixing": op6_source_mixing,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
