@@ -1,22 +1,30 @@
 """Token ids of whole texts by a public tokenizer, word by word.
 
-The tokenizer drops white space and never joins across it, and what it does with a
-word does not depend on the words around it. So a text's ids are the ids of its
-words one after the other, and each distinct word is encoded once by the tokenizers
-library. The table of words is bounded and starts anew when it is full.
+The tokenizer lower-cases, drops white space, never joins across it, and what it does
+with a word does not depend on the words around it. So a text's ids are the ids of
+its words one after the other, and the tokenizers library encodes a word only where
+its ids aren't known. Signs at the end of a word are cut off first where the
+tokenizer would do so, which leaves fewer distinct words. The table of words is
+bounded: the words of the last `MOST_WORDS` new ones stay, and those used since.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
 
-#: Words that a Python worker keeps the ids of.
-MOST_WORDS = 300_000
+#: New words after which those not used since are forgotten.
+MOST_WORDS = 400_000
 VOCABULARY = "word_bpe_49k.json"
+#: Signs that end a word; after an ASCII letter or digit they are a token of their own.
+ENDING = re.compile(rb"([a-z0-9])([.,!?;:$%&*#|]+)(?=[ \t-\r]|$)")
+#: What may start a special token, which is found before lower-casing.
+SPECIAL = b"<|"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -25,27 +33,41 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder:
+class Words(dict):
+    """The ids of words as bytes of little-endian unsigned 32-bit integers."""
+
     def __init__(self, path: str, most: int = MOST_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most, self.old = Tokenizer.from_file(path), most, {}
+        self.model = self.tokenizer.model
+
+    def __missing__(self, word: bytes) -> bytes:
+        packed = self.old.get(word)
+        if packed is None:
+            text = word.decode()
+            # a run of ASCII letters is one piece for the model
+            ids = [t.id for t in self.model.tokenize(text)] if word.isalpha() and word.islower() else self.tokenizer.encode(text, add_special_tokens=False).ids
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[word] = packed
+        return packed
+
+
+class Encoder:
+    def __init__(self, path: str, most: int = MOST_WORDS):
+        self.ids_of = Words(path, most).__getitem__
 
-    def __call__(self, texts: Iterable[bytes]) -> list[np.ndarray]:
+    def __call__(self, texts: Iterable[bytes]) -> Iterable[np.ndarray]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        words = [t.split() for t in texts]  # of bytes: at the six ASCII spaces only
-        new = {w for own in words for w in own if w not in self.known}
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = {w for own in words for w in own}
-        new = list(new)
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found))
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, own)), dtype="<u4") for own in words]
+        for text in texts:
+            if SPECIAL not in text:
+                text = ENDING.sub(rb"\1 \2", text.lower())  # of bytes: A-Z only
+            # of bytes: at the six ASCII spaces only
+            yield np.frombuffer(b"".join(map(self.ids_of, text.split())), dtype="<u4")
 
 
 @cache
