@@ -162,31 +162,44 @@ def fit(docs: DataFrame, label: str = "lang", sample: int = SAMPLE) -> Network |
     return train(np.concatenate(windows), labels) if labels else None
 
 
+def _judge(net: Network | None, score, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    at, data = utf8(texts)
+    langs, out = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    if net:
+        total = np.zeros((len(texts), len(net.langs)))
+        for a, b in slices(at):
+            _add(total[a:b], data, at[a : b + 1], score)
+        p = _softmax(total)
+        best = p.argmax(1)
+        for i, text in enumerate(texts.to_pylist()):
+            if text and LETTER.search(text):
+                langs[i], out[i] = net.langs[best[i]], p[i, best[i]]
+    return langs, out
+
+
 def _rows(net: Network | None):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = net.scorer() if net else None
         for batch in batches:
-            at, data = utf8(batch.column(1))
-            n = len(batch)
-            total, langs = np.zeros((n, len(net.langs) if net else 1)), [UNKNOWN] * n
-            for a, b in slices(at):
-                _add(total[a:b], data, at[a : b + 1], score)
-            out = np.zeros(n)
-            if net:
-                p = _softmax(total)
-                best = p.argmax(1)
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    if text and LETTER.search(text):
-                        langs[i], out[i] = net.langs[best[i]], p[i, best[i]]
+            langs, out = _judge(net, score, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(langs), pa.array(out)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return rows
 
 
+def _accepted(net: Network | None, text: int, least: float):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = net.scorer() if net else None
+        for batch in batches:
+            langs, out = _judge(net, score, batch.column(text))
+            yield batch.filter(pa.array([lang != UNKNOWN and s >= least for lang, s in zip(langs, out)], pa.bool_()))
+
+    return rows
+
+
 def _add(total: np.ndarray, data: np.ndarray, at: np.ndarray, score) -> None:
     """Add to each row its windows' mean logits. Long texts go window block by window block."""
-    if score is None:
-        return
     stride = WINDOW - max(WIDTHS) + 1
     sizes = np.zeros(len(total))
     # a text's blocks of whole windows start where its next window would
@@ -218,3 +231,9 @@ def predict(docs: DataFrame, net: Network | None, held: Column | None = None) ->
 
 def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, fit(docs))
+
+
+def accept(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """The documents, all columns, whose language is known with a score of `least` or more."""
+    ship(docs.sparkSession)
+    return docs.mapInArrow(_accepted(net, docs.columns.index("text"), least), docs.schema)

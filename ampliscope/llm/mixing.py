@@ -73,34 +73,49 @@ def budgets(leaves: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCH
     return final.select(*LEAF, "tokens", whole.alias("target")).withColumn("epochs", F.expr("CASE WHEN tokens > 0 THEN target div tokens ELSE 0 END")).withColumn("part", F.col("target") - F.col("epochs") * F.col("tokens"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, leaf and tokens (words) of every document."""
+def _leaf() -> list[Column]:
     digit = F.element_at(F.create_map(*(F.lit(x) for kv in DOMAIN_OF_DIGIT.items() for x in kv)), F.right(F.col("source"), F.lit(1)))
     words = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("doc_id", F.coalesce(digit, F.lit("other")).alias("domain"), F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source"), words.alias("n_tokens"))
+    return [F.coalesce(digit, F.lit("other")).alias("domain"), F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source"), words.alias("n_tokens")]
 
 
-def mix(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """How many copies of every document the mixture holds, for those that it holds."""
-    rows = materialize(sized(docs), "sized")
-    leaves = materialize(rows.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")), "leaves")
-    plan = materialize(budgets(leaves, part, max_epochs), "budgets")
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, leaf and tokens (words) of every document."""
+    return docs.select("doc_id", *_leaf())
+
+
+def _copies(rows: DataFrame, sizes: DataFrame, part: float, max_epochs: int, seed: int) -> DataFrame:
+    """rows (with doc_id, leaf and n_tokens) that the mixture holds, with `copies`; sizes: the same of a small table."""
+    leaves = materialize(sizes.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")), "leaves")
+    plan = materialize(budgets(leaves, part, max_epochs).select(*LEAF, "epochs", "part"), "budgets")
     few = F.broadcast if plan.count() <= MOST_BROADCAST else lambda x: x
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keyed = materialize(rows.join(few(plan), LEAF).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)), "keyed")
-    sums = keyed.groupBy(*LEAF, "bucket").agg(F.sum("n_tokens").alias("n"), F.first("part").alias("part"))
+    keyed = lambda t: t.join(few(plan), LEAF).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+    sums = keyed(sizes).groupBy(*LEAF, "bucket").agg(F.sum("n_tokens").alias("n"), F.first("part").alias("part"))
     upto = F.sum("n").over(Window.partitionBy(*LEAF).orderBy("bucket"))
     # the bucket in which a leaf's prefix ends, and the tokens before it
     cut = sums.withColumn("upto", upto).where("upto > part").groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("cut"))
-    cut = materialize(cut.select(*LEAF, "cut.*").withColumnRenamed("bucket", "cut"), "cuts")
-    placed = keyed.join(few(cut), LEAF, "left")
+    cut = materialize(cut.select(*LEAF, "cut.before", F.col("cut.bucket").alias("cut")), "cuts")
+    placed = keyed(rows).join(few(cut), LEAF, "left")
     run = F.sum("n_tokens").over(Window.partitionBy(*LEAF).orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))
-    columns = ["doc_id", *LEAF, "n_tokens", "epochs"]
-    taken = placed.where(F.col("cut").isNull() | (F.col("bucket") < F.col("cut"))).select(*columns, F.lit(1).alias("more"))
-    left = placed.where(F.col("bucket") > F.col("cut")).select(*columns, F.lit(0).alias("more"))
-    ends = placed.where(F.col("bucket") == F.col("cut")).select(*columns, (F.col("before") + run <= F.col("part")).cast("int").alias("more"))
-    copies = (F.col("epochs") + F.col("more")).cast("int")
-    return taken.unionByName(left).unionByName(ends).select("doc_id", *LEAF, "n_tokens", copies.alias("copies")).where("copies > 0")
+    ends = placed.where("bucket = cut").withColumn("more", F.col("before") + run <= F.col("part"))
+    others = placed.where("cut is null or bucket != cut").withColumn("more", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(True)))
+    out = others.unionByName(ends).withColumn("copies", (F.col("epochs") + F.col("more").cast("int")).cast("int"))
+    return out.where("copies > 0").select(*rows.columns, "copies")
+
+
+def mix(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """How many copies of every document the mixture holds, for those that it holds."""
+    rows = materialize(sized(docs), "sized")
+    return _copies(rows, rows, part, max_epochs, seed).select("doc_id", *LEAF, "n_tokens", "copies")
+
+
+def mixture(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """The documents of the mixture, each row as often as it holds it. The texts aren't shuffled but for the
+    buckets in which prefixes end."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", *_leaf())
+    held = _copies(whole, materialize(sized(docs), "sized"), part, max_epochs, seed)
+    return held.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def _case(column: str, table: dict, other) -> str:
