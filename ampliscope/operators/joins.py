@@ -33,10 +33,11 @@ def point_join(points: DataFrame, spans: DataFrame, on: list[str], point: str, s
     return a.join(b, [*on, "_bin"]).where(low & high).drop("_bin")
 
 
-def in_any(points: DataFrame, spans: DataFrame, on: list[str], point: str, span: tuple[str, str], key: str, bounds: str = "()", width: int = BIN) -> DataFrame:
-    """points with `inside`: whether any interval holds them."""
-    hit = point_join(points.select(key, *on, point), spans, on, point, span, bounds, width).select(key).distinct().withColumn("inside", F.lit(True))
-    return points.join(hit, key, "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
+def in_any(points: DataFrame, spans: DataFrame, on: list[str], point: str, span: tuple[str, str], bounds: str = "()", width: int = BIN) -> DataFrame:
+    """points with `inside`: whether any interval holds them. Each distinct point is looked up once."""
+    at = [*on, point]
+    hit = point_join(points.select(*at).distinct(), spans, on, point, span, bounds, width).select(*at).distinct().withColumn("inside", F.lit(True))
+    return points.join(hit, at, "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
 
 
 def band_join(left: DataFrame, right: DataFrame, on: list[str], a: str, b: str, most: int) -> DataFrame:
