@@ -73,7 +73,8 @@ class Network:
                 if odd is not None:
                     total += np.take(odd, windows[:, width - 1 : width - 1 + n], axis=0)
                 pooled.append(total.max(1))
-            return np.maximum(np.concatenate(pooled, 1) + self.bias, 0) @ self.dense + self.offset
+            # einsum, as a matrix product may round a row by what else is in its batch
+            return np.einsum("nf,fl->nl", np.maximum(np.concatenate(pooled, 1) + self.bias, 0).astype(float), self.dense.astype(float)) + self.offset
 
         return logits
 
