@@ -83,7 +83,7 @@ def kmers_spanning(s: Column, position: Column, k: int) -> Column:
 def edit_kmers(s: Column, positions: Column, k: int) -> Column:
     """Distinct k-mers over any of the positions, and their reverse complements, sorted."""
     own = F.flatten(F.transform(positions, lambda p: F.transform(kmers_spanning(s, p, k), lambda x: x["kmer"])))
-    return F.array_sort(F.array_distinct(F.concat(own, F.transform(own, reverse_complement))))
+    return F.array_sort(F.array_distinct(F.concat(own, F.transform(own, lambda x: reverse_complement(x)))))
 
 
 def translate_codon(codon: Column) -> Column:
