@@ -105,7 +105,7 @@ def cut_site(s: Column, guide: Column, missing: str = "middle") -> Column:
 
 def geometry(s: Column, guide: Column, nuclease: str = "cas9") -> Column:
     """(guide_start, strand, pam, pam_start, cleavage): Cas9 has NGG after the guide and cuts 3 before
-    it; Cas12a has TTTN before the guide and cuts 18 from the PAM's start."""
+    it; Cas12a has TTTN before the guide and cuts 18 from the PAM's start. The PAM is as the given strand reads."""
     at = find_guide(s, guide)
     n, pos, plus = F.length(guide), at["position"], at["strand"] == "+"
     if nuclease == "cas9":
@@ -116,7 +116,7 @@ def geometry(s: Column, guide: Column, nuclease: str = "cas9") -> Column:
         size = 4
         cut = F.when(plus, start + 18).otherwise(start + size - 18)
     raw = F.when(start >= 0, F.substring(s, start + 1, F.lit(size)))
-    return F.when(at.isNotNull(), F.struct(pos.alias("guide_start"), at["strand"].alias("strand"), F.when(plus, raw).otherwise(reverse_complement(raw)).alias("pam"), start.alias("pam_start"), cut.alias("cleavage")))
+    return F.when(at.isNotNull(), F.struct(pos.alias("guide_start"), at["strand"].alias("strand"), F.upper(raw).alias("pam"), start.alias("pam_start"), cut.alias("cleavage")))
 
 
 def signature(wt: Column, hdr: Column) -> Column:

@@ -119,14 +119,49 @@ def first_known(rows: DataFrame, key: str, columns: list[str], order: Column) ->
     return rows.groupBy(key).agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns))
 
 
-def manifest(samples: DataFrame, plates: DataFrame, raw_dir: str, locus: str | None = None, replicate: int | None = None) -> DataFrame:
-    """Sample key joined to plate key: ids, FASTQ paths and what else they say."""
+MANIFEST = ["sample_id", "r1_path", "r2_path", "expected_barcode", "sample_number", "gDNA_plate_num", "Well ID", "sample_ID", "date", "locus", "sequencing_date", "outer_primers", "replicate"]
+
+
+def manifest(samples: DataFrame, plates: DataFrame, raw_dir: str, locus: str | None = None, replicate: str | None = None) -> DataFrame:
+    """A row for each sample and sequencing run of its plate, with its id and FASTQ paths; columns that exist only.
+    sample_ID, where samples have it, differs from sample_id by case: select it by position or rename it first."""
     joined = samples.join(plates, "gDNA_plate_num")
     if locus is not None:
         joined = joined.where(F.col("locus") == locus)
     if replicate is not None:
         joined = joined.where(F.col("replicate") == replicate)
-    sid = F.concat_ws("_", "locus", F.col("gDNA_plate_num").cast("string"), "well", F.concat(F.lit("rep"), F.col("replicate").cast("string")))
-    path = lambda mate: F.concat(F.lit(f"{raw_dir.rstrip('/')}/"), "_sid", F.lit(f"_R{mate}_001.fastq.gz"))
-    named = joined.withColumn("_sid", sid).withColumn("r1_path", path(1)).withColumn("r2_path", path(2)).withColumnRenamed("_sid", "sample_id")
-    return named.withColumnRenamed("barcode", "expected_barcode") if "barcode" in joined.columns else named
+    run = F.concat_ws("_", F.col("sequencing_date").cast("string"), "outer_primers", F.col("sample_number").cast("string"))
+    path = lambda mate: F.concat(F.lit(f"{raw_dir.rstrip('/')}/fastq/"), run, F.lit(f"_R{mate}.fastq.gz"))
+    made = {"sample_id": run, "r1_path": path(1), "r2_path": path(2)}
+    if "barcode" in joined.columns:
+        made["expected_barcode"] = F.col("barcode")
+    return joined.select(*((made[c] if c in made else F.col(f"`{c}`")).alias(c) for c in MANIFEST if c in made or c in joined.columns))
+
+
+def primer_pair(sample_id: Column, pairs: list[str]) -> Column:
+    """The first primer pair whose name a sample id holds, else the first of all."""
+    found = F.lit(pairs[0])
+    for p in reversed(pairs):
+        found = F.when(sample_id.contains(p), p).otherwise(found)
+    return found
+
+
+def by_reference(samples: DataFrame, references: DataFrame) -> DataFrame:
+    """samples with the reference of each (sample_id, reference_id), `default` where there is none."""
+    return samples.join(references.select("sample_id", "reference_id"), "sample_id", "left").withColumn("reference_id", F.coalesce("reference_id", F.lit("default")))
+
+
+def flatten_mates(alignments: DataFrame) -> DataFrame:
+    """One row per sequence (seq_hash) from alignments (flag, start, end, cigar, seq, mapq, ordinal): the last primary
+    record of each mate; reads that aren't paired are first mates."""
+    rows = alignments.where(F.col("flag").bitwiseAND(F.lit(0x900)) == 0).withColumn("_mate", F.when(F.col("flag").bitwiseAND(F.lit(0x80)) != 0, 2).otherwise(1))
+    last = lambda m, c: F.max_by(c, F.when(F.col("_mate") == m, F.col("ordinal")))
+    out = []
+    for m in (1, 2):
+        there = F.max(F.when(F.col("_mate") == m, F.lit(1))).isNotNull()
+        out += [F.when(there, last(m, c)).alias(f"r{m}_{c}") for c in ("start", "end", "cigar", "seq", "mapq", "flag")]
+    flat = rows.groupBy("seq_hash").agg(*out, F.max_by((F.col("flag").bitwiseAND(F.lit(2)) != 0), "ordinal").alias("is_proper_pair"))
+    for m in (1, 2):
+        flag = F.coalesce(F.col(f"r{m}_flag"), F.lit(4))
+        flat = flat.withColumn(f"r{m}_is_mapped", flag.bitwiseAND(F.lit(4)) == 0).withColumn(f"r{m}_is_reverse", flag.bitwiseAND(F.lit(16)) != 0).drop(f"r{m}_flag")
+    return flat

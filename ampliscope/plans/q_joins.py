@@ -9,12 +9,12 @@ from ampliscope.operators import collapse, joins, wgs
 from ampliscope.plans.base import DNA, dna, query, table, whole
 
 
-@query("""SELECT 'L' || o.l_suppkey % 3 || '_' || o.l_suppkey || '_W' || o.l_linenumber || '_rep' || s.s_nationkey % 3 AS sample_id, 'raw/' || 'L' || o.l_suppkey % 3 || '_' || o.l_suppkey || '_W' || o.l_linenumber || '_rep' || s.s_nationkey % 3 || '_R1_001.fastq.gz' AS r1_path, o.l_returnflag AS expected_barcode
+@query("""SELECT '2024-0' || s.s_nationkey % 9 || '_P' || s.s_suppkey % 4 || '_' || o.l_linenumber AS sample_id, 'raw/fastq/2024-0' || s.s_nationkey % 9 || '_P' || s.s_suppkey % 4 || '_' || o.l_linenumber || '_R1.fastq.gz' AS r1_path, o.l_returnflag AS expected_barcode, o.l_suppkey AS "gDNA_plate_num"
   FROM lineitem o JOIN supplier s ON s.s_suppkey = o.l_suppkey WHERE 'L' || o.l_suppkey % 3 = 'L1'""")
 def manifest_inner(spark, sf_dir):
-    samples = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("gDNA_plate_num"), F.concat(F.lit("W"), "l_linenumber").alias("well"), F.col("l_returnflag").alias("barcode"))
-    plates = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("gDNA_plate_num"), F.concat(F.lit("L"), F.col("s_suppkey") % 3).alias("locus"), (F.col("s_nationkey") % 3).alias("replicate"))
-    return joins.manifest(samples, plates, "raw", locus="L1").select("sample_id", "r1_path", "expected_barcode")
+    samples = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("gDNA_plate_num"), F.col("l_linenumber").alias("sample_number"), F.col("l_returnflag").alias("barcode"))
+    plates = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("gDNA_plate_num"), F.concat(F.lit("L"), F.col("s_suppkey") % 3).alias("locus"), F.concat(F.lit("2024-0"), F.col("s_nationkey") % 9).alias("sequencing_date"), F.concat(F.lit("P"), F.col("s_suppkey") % 4).alias("outer_primers"))
+    return joins.manifest(samples, plates, "raw", locus="L1").select("sample_id", "r1_path", "expected_barcode", "gDNA_plate_num")
 
 
 @query("SELECT coalesce(a.k, b.k) AS sample_id, a.own, b.other FROM (SELECT o_custkey AS k, count(*) AS own FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a FULL JOIN (SELECT c_custkey AS k, round(c_acctbal, 2) AS other FROM customer WHERE c_nationkey < 12) b ON a.k = b.k")
