@@ -115,10 +115,10 @@ def interval_predicates(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", I.overlaps(s1, e1, s2, e2).alias("overlaps"), I.contains(s1, e1, s2, e2).alias("contained"), I.nested_gap(s1, e1, s2, e2, 20).alias("nested"))
 
 
-_REC = """SELECT 'r' || l_orderkey AS read, (CASE WHEN l_linenumber % 4 = 0 THEN 1024 ELSE 0 END)::INT AS flag, 'chr' || l_suppkey % 3 AS chrom, (l_partkey % 2000 + 1)::BIGINT AS pos, CASE l_returnflag WHEN 'A' THEN '5S' || l_quantity::BIGINT || 'M' WHEN 'N' THEN l_quantity::BIGINT || 'M' ELSE l_quantity::BIGINT || 'M4S' END AS cigar, l_quantity::BIGINT AS span,
-  CASE l_linenumber % 5 WHEN 1 THEN 'chr9' WHEN 2 THEN '*' ELSE '=' END AS rnext, (l_partkey % 2000 + l_linenumber * 5)::BIGINT AS pnext, (l_linenumber * 300 - 400)::BIGINT AS tlen FROM lineitem"""
-_WIN = "SELECT 'chr' || p_partkey % 3 AS chrom, (p_partkey * 17 % 2000 + 1)::BIGINT AS ds, (p_partkey * 17 % 2000 + 60)::BIGINT AS de FROM part WHERE p_size > 45"
-_BL = "SELECT 'chr9' AS chrom, 100 AS s, 900 AS e"
+_REC = """SELECT 'r' || l_orderkey AS read, (CASE WHEN l_linenumber % 4 = 0 THEN 1024 ELSE 0 END)::INT AS flag, 'chr' || l_suppkey % 3 AS chrom, (l_partkey * 17 + l_linenumber * 9)::BIGINT AS pos, CASE l_returnflag WHEN 'A' THEN '5S' || l_quantity::BIGINT || 'M' WHEN 'N' THEN l_quantity::BIGINT || 'M' ELSE l_quantity::BIGINT || 'M4S' END AS cigar, l_quantity::BIGINT AS span,
+  CASE l_linenumber % 5 WHEN 1 THEN 'chr9' WHEN 2 THEN '*' ELSE '=' END AS rnext, (l_partkey * 17 + l_linenumber * 5)::BIGINT AS pnext, (l_linenumber * 300 - 400)::BIGINT AS tlen FROM lineitem"""
+_WIN = "SELECT 'chr' || p_partkey % 3 AS chrom, (p_partkey * 17)::BIGINT AS ds, (p_partkey * 17 + 59)::BIGINT AS de FROM part"
+_BL = "SELECT 'chr9' AS chrom, 100 AS s, 9000 AS e"
 
 
 @query(f"""WITH x AS (SELECT r.*, w.ds, w.de, r.pos + r.span AS re, CASE WHEN rnext = '=' THEN r.chrom ELSE rnext END AS mate FROM ({_REC}) r JOIN (SELECT DISTINCT * FROM ({_WIN})) w ON r.chrom = w.chrom AND NOT (w.de < r.pos OR w.ds > r.pos + r.span)),
@@ -130,12 +130,12 @@ def donor_read_class(spark, sf_dir):
     n, q = F.col("l_linenumber"), whole("l_quantity").cast("string")
     cigar = F.when(F.col("l_returnflag") == "A", F.concat(F.lit("5S"), q, F.lit("M"))).when(F.col("l_returnflag") == "N", F.concat(q, F.lit("M"))).otherwise(F.concat(q, F.lit("M4S")))
     rec = table(spark, sf_dir, "lineitem").select(
-        F.lit("s").alias("sample"), F.concat(F.lit("r"), "l_orderkey").alias("read"), F.when(n % 4 == 0, 1024).otherwise(0).alias("flag"), F.concat(F.lit("chr"), F.col("l_suppkey") % 3).alias("rname"), (F.col("l_partkey") % 2000 + 1).alias("pos"), cigar.alias("cigar"),
-        F.when(n % 5 == 1, "chr9").when(n % 5 == 2, "*").otherwise("=").alias("rnext"), (F.col("l_partkey") % 2000 + n * 5).alias("pnext"), (n * 300 - 400).alias("tlen"),
+        F.lit("s").alias("sample"), F.concat(F.lit("r"), "l_orderkey").alias("read"), F.when(n % 4 == 0, 1024).otherwise(0).alias("flag"), F.concat(F.lit("chr"), F.col("l_suppkey") % 3).alias("rname"), (F.col("l_partkey") * 17 + n * 9).alias("pos"), cigar.alias("cigar"),
+        F.when(n % 5 == 1, "chr9").when(n % 5 == 2, "*").otherwise("=").alias("rnext"), (F.col("l_partkey") * 17 + n * 5).alias("pnext"), (n * 300 - 400).alias("tlen"),
     )
-    start = F.col("p_partkey") * 17 % 2000 + 1
-    win = table(spark, sf_dir, "part").where("p_size > 45").select(F.lit("s").alias("sample"), F.concat(F.lit("chr"), F.col("p_partkey") % 3).alias("chrom"), start.alias("donor_start"), (start + 59).alias("donor_end")).distinct()
-    found = wgs.donor_reads(rec, win, spark.createDataFrame([("chr9", 100, 900)], "chrom string, start int, end int"))
+    start = F.col("p_partkey") * 17
+    win = table(spark, sf_dir, "part").select(F.lit("s").alias("sample"), F.concat(F.lit("chr"), F.col("p_partkey") % 3).alias("chrom"), start.alias("donor_start"), (start + 59).alias("donor_end")).distinct()
+    found = wgs.donor_reads(rec, win, spark.createDataFrame([("chr9", 100, 9000)], "chrom string, start int, end int"))
     return wgs.donor_read_counts(found).select("chrom", "donor_start", "donor_end", whole("variant_cov").alias("variant_cov"), "frags_genome", "frags_plasmid", "frags_chimeric")
 
 
