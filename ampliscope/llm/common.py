@@ -1,13 +1,13 @@
-"""What the training-data operators share: scratch tables, shipping, text buffers."""
+"""What the training-data operators share: scratch tables and text buffers."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,32 +15,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampliscope.runtime import ship  # noqa: F401  for the operators
+
 #: Bytes of text that one numpy pass takes at a time inside an Arrow batch.
 SLICE_BYTES = 4 << 20
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give this package to the executors, once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    top = Path(__file__).resolve().parents[1]
-    out = os.path.join(tempfile.mkdtemp(), f"{top.name}_src.zip")
-    with zipfile.ZipFile(out, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)
-
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share. Where none is set: a temporary one of a single machine's
+    session, removed at its end, else a folder in the warehouse, which is shared as well."""
     conf = spark.sparkContext.getConf()
     base = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="ampliscope-")
+        if re.match(r"local(\[|$)", spark.sparkContext.master):
+            own = tempfile.mkdtemp(prefix="ampliscope-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            base = f"file://{own}"
+        else:
+            base = f"{spark.conf.get('spark.sql.warehouse.dir')}/ampliscope-scratch"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
