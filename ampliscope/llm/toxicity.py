@@ -135,10 +135,10 @@ def _score(machine: Machine | None):
             own = []
             for text in batch.column(2).to_pylist():
                 words = words_of(text)
-                new = words - known.keys()
+                new = [w for w in words if w not in known]  # not words - known.keys(), which walks all of known
                 if len(known) + len(new) > MOST_WORDS:
                     known.clear()
-                    new = words
+                    new = list(words)
                 for w in new:
                     known[w] = tuple(number[h] for h in hashes(w) if h in number)
                 own.append(np.array(sorted({i for w in words for i in known[w]}), dtype=np.int64))
