@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampliscope.functions import cigar as C
-from ampliscope.functions.dna import kmers, reverse_complement, upto
+from ampliscope.functions.dna import reverse_complement, upto
 from ampliscope.functions.homology import deletion_mechanism, junction_overlap, overlap
 from ampliscope.operators.dedup import best_by_penalty
 
@@ -114,12 +117,7 @@ def by_three_aligners(alignments: DataFrame, window: int = 12, large: int = 50,
 def kmer_flags(reads: DataFrame, sequence: str, sets: dict[str, list[str]]) -> DataFrame:
     """reads with has_<name> for each short list of k-mers (one locus has a few dozen). Longer lists: joins.kmer_hits."""
     u = F.upper(F.col(sequence))
-    for name, own in sets.items():
-        test = F.lit(False)
-        for k in sorted({len(x) for x in own}):
-            test = test | F.coalesce(F.arrays_overlap(kmers(u, k), F.array(*(F.lit(x) for x in sorted(own) if len(x) == k))), F.lit(False))
-        reads = reads.withColumn(f"has_{name}", test)
-    return reads
+    return reads.withColumns({f"has_{name}": F.coalesce(reduce(or_, (u.contains(x) for x in sorted(own)), F.lit(False)), F.lit(False)) for name, own in sets.items()})
 
 
 def kmer_label(wt: Column, hdr: Column, contamination: Column) -> Column:
