@@ -102,7 +102,7 @@ def by_references(alignments: DataFrame, window: int = 10, most_mismatches: int
 def by_three_aligners(alignments: DataFrame, window: int = 12, large: int = 50, anchor: int = 20, parity: bool = False) -> DataFrame:
     """The best alignment of each read (read_id, aligner, penalty, is_mapped, ref_start, cigar, cut_site), labelled.
     parity: a deletion near the cut overrides a large one, as it does where the first label doesn't end the search."""
-    rows = best_by_penalty(alignments).withColumn("_ops", C.operations(F.col("cigar"), F.col("ref_start")))
+    rows = best_by_penalty(alignments, then=("cigar", "ref_start", "is_mapped")).withColumn("_ops", C.operations(F.col("cigar"), F.col("ref_start")))
     cut = F.col("cut_site")
     close = lambda op: F.exists("_ops", lambda o: (o["op"] == op) & (o["ref"] <= cut + window) & (o["ref"] + F.when(o["op"] == "D", o["n"]).otherwise(0) >= cut - window))
     big = F.exists("_ops", lambda o: (o["op"] == "D") & (o["n"] >= large) & (o["ref"] <= cut) & (cut <= o["ref"] + o["n"]) & (C.anchors(F.col("_ops"), o["ref"], o["ref"] + o["n"])["left"] >= anchor) & (C.anchors(F.col("_ops"), o["ref"], o["ref"] + o["n"])["right"] >= anchor))

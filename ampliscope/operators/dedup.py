@@ -18,9 +18,9 @@ def aligner_priority(aligner: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in PRIORITY.items() for x in kv)), aligner), F.lit(99))
 
 
-def best_by_penalty(alignments: DataFrame, key: str = "read_id") -> DataFrame:
-    """The alignment with the smallest penalty of each read; on a tie by aligner."""
-    return keep_first(alignments, [key], [F.asc("penalty"), aligner_priority(F.col("aligner")), F.asc("aligner")])
+def best_by_penalty(alignments: DataFrame, key: str = "read_id", then: tuple[str, ...] = ()) -> DataFrame:
+    """The alignment with the smallest penalty of each read; on a tie by aligner, then by further columns."""
+    return keep_first(alignments, [key], [F.asc("penalty"), aligner_priority(F.col("aligner")), F.asc("aligner"), *then])
 
 
 def best_by_score(alignments: DataFrame, key: str = "read_id") -> DataFrame:
