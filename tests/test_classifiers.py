@@ -198,3 +198,14 @@ def test_by_signature(spark):
     got = {r.id: r.outcome for r in classify_more.by_signature(df).collect()}
     assert got == {"wt": "wt", "hdr": "hdr_complete", "capture": "donor_capture", "nhej": got["nhej"], "plus": got["plus"], "snv": "non_donor_snv", "far": "unclassified"}
     assert got["nhej"] in ("nhej_indel", "mmej_indel") and got["plus"] in ("hdr_plus_nhej_indel", "hdr_plus_mmej_indel")
+
+
+def test_captured_insertions(spark):
+    donor = "CCGATTACAGGTTACGTCCA"
+    rows = [("exact", [(44, "GATTACAGGTTA")]), ("rough", [(44, "GATTACAGGTAA")]), ("short", [(44, "GATTAC")]), ("far", [(96, "GATTACAGGTTA")]), ("other", [(44, "TGTGTGTGTGTG")]), ("second", [(40, "TGTGTGTGTGTG"), (46, "GATTACAGGTTA")]), ("none", [])]
+    df = spark.createDataFrame(rows, "id string, insertions array<struct<position:int,sequence:string>>").withColumns({"donor_seq": F.lit(donor), "ref_seq": F.lit(REF), "cut_site": F.lit(CUT)})
+    got = {r.id: r for r in classify_more.captured_insertion(df).collect()}
+    assert {k for k, r in got.items() if r.is_donor_capture} == {"exact", "rough", "second"}
+    assert (got["second"].donor_capture_distance, got["exact"].donor_capture_size, got["none"].mmej_class) == (1, 12, "")
+    left = max((i for i in range(1, 13) if REF[44 - i : 44] == "GATTACAGGTTA"[:i] and all(REF[44 - j : 44] == "GATTACAGGTTA"[:j] for j in range(1, i))), default=0)
+    assert got["exact"].junction_homology_left == left
