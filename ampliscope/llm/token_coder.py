@@ -49,6 +49,8 @@ MAGIC = b"AXR1"
 END_ID = 2
 #: Ids of a block, and of a segment at least, if there are so many.
 BLOCK, SEGMENT = 8192, 4 << 20
+#: Blocks of a segment at least, unless they would be shorter than this.
+LANES, SHORT = 512, 2048
 #: log2 of the slots of orders 1 and 2.
 SLOTS_1, SLOTS_2 = 12, 13
 #: The ids of a block that order 0 tells apart: SIDE groups of SIDE.
@@ -62,6 +64,10 @@ FIRST = np.array([[16 * n2, 8 * n1 * (1 - agree), 8, 8] for agree in (0, 1) for
 STATES = len(FIRST)
 
 
+#: What a count adds to the sums above it, for each place.
+ABOVE = np.triu(np.full((SIDE, SIDE + 1), COUNT, np.uint16), 1)
+
+
 class Lanes:
     """The models of blocks that are coded side by side."""
 
@@ -69,45 +75,45 @@ class Lanes:
         self.lane = np.arange(n)
         self.slots_1, self.slots_2 = np.zeros(n << SLOTS_1, np.int32), np.zeros(n << SLOTS_2, np.int32)
         self.at_1, self.at_2, self.at_state = self.lane << SLOTS_1, self.lane << SLOTS_2, self.lane * STATES
-        self.weights = np.tile(FIRST, (n, 1))
-        # counts of order 0 as sums up to each group, and up to each id of a group
-        self.groups = np.zeros((n, SIDE + 1), np.int32)
-        self.within = np.zeros((n * SIDE, SIDE + 1), np.int32)
+        # the four shares one after the other
+        self.each = n * STATES
+        self.weights = np.tile(FIRST, (n, 1)).T.ravel().copy()
+        # counts of order 0 as sums up to each group, and up to each id of a group; under 2^16 in a block
+        self.groups = np.zeros((n, SIDE + 1), np.uint16)
+        self.within = np.zeros((n * SIDE, SIDE + 1), np.uint16)
         self.at_group = self.lane * SIDE
-        self.steps = np.arange(SIDE + 1, dtype=np.int32)
         self.size = np.zeros(n, np.int64)
         self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.shares = np.zeros((n, 5), np.int64)
 
     def predict(self) -> None:
-        """The ids that orders 1 and 2 point to, and the bounds of the four shares."""
+        """The ids that orders 1 and 2 point to, the four shares and where each begins."""
         self.i1 = self.at_1 + ((self.last * 40503 >> 4) & ((1 << SLOTS_1) - 1))
         self.i2 = self.at_2 + (((self.last * 0x9E3779B1 + self.before * 0x85EBCA77) >> 15) & ((1 << SLOTS_2) - 1))
-        s1, s2 = self.slots_1[self.i1], self.slots_2[self.i2]
+        s1, s2 = self.slots_1.take(self.i1), self.slots_2.take(self.i2)
         self.n1, self.n2, self.id1, self.id2 = s1 & 3, s2 & 3, s1 >> 2, s2 >> 2
         self.state = self.at_state + (self.n2 << 2) + self.n1 + (((self.id1 == self.id2) & (self.n2 > 0)) << 4)
-        self.row = self.weights[self.state]
-        np.cumsum(self.row, axis=1, out=self.shares[:, 1:])
+        w = [self.weights.take(self.state + k * self.each) for k in range(4)]
+        two, three = w[0] + w[1], w[0] + w[1] + w[2]
+        self.shares, self.begins, self.total = w, (0, w[0], two, three), three + w[3]
 
     def update(self, ids: np.ndarray, share: np.ndarray, index: np.ndarray) -> None:
         """ids: what came, in which share, and its number in the block's order of first use (SIDE^2 or more: not counted)."""
-        row = self.row
-        row[self.lane, share] += GAIN
-        full = self.shares[:, 4] > MOST
-        if full.any():
-            row[full] = (row[full] + 1) >> 1
-        self.weights[self.state] = row
+        self.weights[share * self.each + self.state] += GAIN
+        full = np.flatnonzero(self.total > MOST)
+        if len(full):
+            for k in range(4):
+                at = self.state[full] + k * self.each
+                self.weights[at] = (self.weights[at] + 1) >> 1
         for slots, at, n, old in ((self.slots_1, self.i1, self.n1, self.id1), (self.slots_2, self.i2, self.n2, self.id2)):
             hit = (old == ids) & (n > 0)
-            stay = hit | (n > 1)
-            n = np.where(hit, np.minimum(n + 1, 3), np.maximum(n - 1, 1))
-            slots[at] = (np.where(stay, old, ids) << 2) | n
+            n_new = np.where(hit, np.minimum(n + 1, 3), np.maximum(n - 1, 1))
+            slots[at] = (np.where(hit | (n > 1), old, ids) << 2) | n_new
         counted = np.flatnonzero((share >= 2) & (index < SIDE * SIDE))
         if len(counted):
-            group, place = index[counted] >> 6, index[counted] & (SIDE - 1)
-            self.groups[counted] += (self.steps > group[:, None]) * np.int32(COUNT)
-            at = self.at_group[counted] + group
-            self.within[at] += (self.steps > place[:, None]) * np.int32(COUNT)
+            index = index[counted]
+            group = index >> 6
+            self.groups[counted] += ABOVE.take(group, axis=0)
+            self.within[self.at_group[counted] + group] += ABOVE.take(index & (SIDE - 1), axis=0)
         self.before, self.last = self.last, ids
 
 
@@ -126,6 +132,8 @@ def first_use(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def encode_lanes(ids: np.ndarray) -> list[np.ndarray]:
     """The 16-bit words of each lane of ids (lanes x ids)."""
     lanes, steps = ids.shape
+    if steps * COUNT >= 65536:
+        raise ValueError("a block's counts must stay below 2^16")
     ids = ids.astype(np.int64)
     index, first = first_use(ids)
     unknown = np.ascontiguousarray((first | (index >= SIDE * SIDE)).T)
@@ -148,24 +156,22 @@ def encode_lanes(ids: np.ndarray) -> list[np.ndarray]:
             low[short] = (low[short] - word * LOW) * WORD
             width[short] *= WORD
 
+    lane, one = model.lane, np.ones(lanes, np.int64)
     for t in range(steps):
         x, i = ids[t], index[t]
         model.predict()
         share = np.where(unknown[t], 3, 2)
         share[(model.id1 == x) & (model.n1 > 0)] = 1
         share[(model.id2 == x) & (model.n2 > 0)] = 0
-        bounds, lane = model.shares, model.lane
-        start = bounds[lane, share]
-        put(start, bounds[lane, share + 1] - start, bounds[:, 4])
-        rest = share >= 2
+        put(np.choose(share, model.begins), np.choose(share, model.shares), model.total)
         i0 = np.minimum(i, SIDE * SIDE - 1)
         group, place = i0 >> 6, i0 & (SIDE - 1)
         at = model.at_group + group
-        below = model.within[at, place]
-        start = np.where(share == 2, model.groups[lane, group] + below, np.where(rest, x, 0))
-        size = np.where(share == 2, model.within[at, place + 1] - below, 1)
-        total = np.where(share == 2, model.groups[:, SIDE], np.where(rest, 65536, 1))
-        put(start, size, total)
+        below = model.within[at, place].astype(np.int64)
+        known = share == 2
+        start = np.choose(share, (0, 0, model.groups[lane, group] + below, x))
+        size = np.where(known, model.within[at, place + 1] - below, one)
+        put(start, size, np.choose(share, (1, 1, model.groups[:, SIDE].astype(np.int64), 65536)))
         model.update(x, share, i)
     for _ in range(3):  # the whole of low
         word = np.floor(low / LOW)
@@ -203,25 +209,24 @@ def decode_lanes(words: list[np.ndarray], steps: int) -> np.ndarray:
     lane = model.lane
     for t in range(steps):
         model.predict()
-        bounds = model.shares
-        unit = np.floor(width / bounds[:, 4])
+        unit = np.floor(width / model.total)
         value = np.floor(code / unit)
-        share = (value[:, None] >= bounds[:, 1:4]).sum(1)
-        start = bounds[lane, share]
-        take(start, bounds[lane, share + 1] - start, unit)
+        _, b1, b2, b3 = model.begins
+        share = (value >= b1).astype(np.int64) + (value >= b2) + (value >= b3)
+        take(np.choose(share, model.begins), np.choose(share, model.shares), unit)
         two, three = share == 2, share == 3
-        total = np.where(two, model.groups[:, SIDE], np.where(three, 65536, 1))
-        unit = np.floor(width / total)
+        unit = np.floor(width / np.choose(share, (1, 1, model.groups[:, SIDE].astype(np.int64), 65536)))
         value = np.floor(code / unit).astype(np.int64)
-        group = np.minimum((model.groups[:, 1:] <= value[:, None]).sum(1), SIDE - 1)
-        above = model.groups[lane, group]
-        own = model.within[model.at_group + group]
-        place = np.minimum((own[:, 1:] <= (value - above)[:, None]).sum(1), SIDE - 1)
-        below = own[lane, place]
-        index = np.where(two, (group << 6) + place, model.size)
-        start = np.where(two, above + below, np.where(three, value, 0))
-        take(start, np.where(two, own[lane, place + 1] - below, 1), unit)
-        x = np.where(share == 0, model.id2, np.where(share == 1, model.id1, np.where(two, known[lane, (group << 6) + place], value)))
+        # the first sum above the value; in other shares it doesn't matter
+        group = (model.groups[:, 1:] > np.where(two, value, 0).astype(np.uint16)[:, None]).argmax(1)
+        above = model.groups[lane, group].astype(np.int64)
+        own = model.within.take(model.at_group + group, axis=0)
+        place = (own[:, 1:] > np.where(two, value - above, 0).astype(np.uint16)[:, None]).argmax(1)
+        below = own[lane, place].astype(np.int64)
+        number = (group << 6) + place
+        index = np.where(two, number, model.size)
+        take(np.choose(share, (0, 0, above + below, value)), np.where(two, own[lane, place + 1] - below, 1), unit)
+        x = np.choose(share, (model.id2, model.id1, known[lane, number], value))
         new = np.flatnonzero(three & (model.size < SIDE * SIDE))
         known[new, model.size[new]] = x[new]
         model.size[new] += 1
@@ -240,7 +245,7 @@ def encode_segment(docs: list[tuple[int | None, np.ndarray]], before: int = 0) -
     if len(ids) and int(ids.max()) >= 65536:
         raise ValueError("ids must be below 65536")
     table = np.array([(0 if d is None else d, len(x), d is None) for d, x in docs], dtype=DOCUMENT)
-    lanes = max(1, -(-len(ids) // BLOCK))
+    lanes = max(1, -(-len(ids) // BLOCK), min(LANES, len(ids) // SHORT))
     steps = -(-len(ids) // lanes)
     padded = np.zeros(lanes * steps, np.int64)
     padded[: len(ids)] = ids
