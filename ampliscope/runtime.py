@@ -10,11 +10,18 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: Rows and bytes of an Arrow batch where the session has Spark's defaults: texts may be long, and a worker holds
+#: a batch several times over.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+DEFAULT_ROWS = "10000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors, once per application."""
+    """Give this package to the executors, once per application, and keep Arrow batches small."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == DEFAULT_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if sc.applicationId in _SHIPPED:
         return
     top = Path(__file__).resolve().parent
