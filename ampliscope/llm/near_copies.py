@@ -11,13 +11,16 @@ a class of eight is equal with a chance of 0.17 and one of four of 0.41: of 16 a
 all differ with a chance of 1 in 100,000.
 
 Pairs that share a block are joined and their Hamming distance over the 1024 bits
-verified. Where it is 2.5 standard deviations below that of similarity 0.8, they are
+verified. Where it is 3.5 standard deviations below that of similarity 0.8, they are
 linked; where it is up to 3 above, the shingles of the two decide, but only for pairs
-that the sure links leave apart. A bucket of
-over `HOT` texts is split by a second block that its members share; where that leaves
-more than `HOT`, a member is compared with the bucket's centre and with the next
-member, each chosen by another hash in each bucket, not with all: thousands of near
-copies need a link to each other, not all links.
+that the sure links leave apart.
+
+In a bucket of over `HOT` texts a member first meets the bucket's centre and the next
+member only, each chosen by another hash in each bucket: thousands of near copies
+need a link to each other, not all links. Members of buckets that this leaves in
+several components then meet in the parts into which a second block of the same
+number of classes, one of the first `SECOND`, splits the bucket: all with all, or
+again centre and next member where over `HOT` are left.
 
 Texts that are equal after lower-casing A-Z and joining their words by spaces are one
 node. Defined cases: texts without a word, null ones too, are equal texts; with fewer
@@ -44,10 +47,12 @@ SHINGLE, SIMILARITY = 5, 0.8
 WORDS = 16
 BITS = 64 * WORDS
 #: Standard deviations of the distance within which the shingles themselves decide.
-SURE, FAR = -2.5, 3.0
+SURE, FAR = -3.5, 3.0
 #: Shingles of a class, about, and classes whose SimHash is a block.
 CLASS, BLOCKS = 8, 16
 HOT = 32
+#: Classes that split large buckets.
+SECOND = 10
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,9 +79,9 @@ def _wide(h: np.ndarray) -> np.ndarray:
     return np.packbits(ones * 2 > len(h), bitorder="little").view("<i8")
 
 
-def _blocks(h: np.ndarray) -> np.ndarray:
-    """The keys of the text's blocks: of the number of classes and the class with its SimHash."""
-    keys = []
+def _blocks(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of the text's blocks, of the number of classes and the class with its SimHash; and these two as one number."""
+    keys, tags = [], []
     level = max(0, math.ceil(math.log2(max(1, len(h)) / CLASS)))
     for lv in (level, level + 1):
         of = h & np.uint64((1 << lv) - 1)
@@ -91,11 +96,12 @@ def _blocks(h: np.ndarray) -> np.ndarray:
         bits = np.unpackbits(_mixed(own).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
         block = np.packbits(ones * 2 > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
-        keys.append(_mixed(block + (of[first] + lv * BLOCKS + 1).astype(np.uint64) * ODD))
-    return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+        tags.append(of[first] + lv * BLOCKS)
+        keys.append(_mixed(block + (tags[-1] + 1).astype(np.uint64) * ODD))
+    return (np.concatenate(keys).view(np.int64), np.concatenate(tags)) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-SKETCH = "doc_id long, text_hash string, bits array<long>, blocks array<long>"
+SKETCH = "doc_id long, text_hash string, bits array<long>, blocks array<long>, tags array<long>"
 
 
 def _features(text: bytes | None, size: int) -> np.ndarray:
@@ -119,13 +125,16 @@ def _shingles(size: int):
 def _sketches(size: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same, bits, blocks = [], [], []
+            same, bits, blocks, tags = [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 h = _features(text, size)
                 same.append(_same(text))
                 bits.append(_wide(h))
-                blocks.append(_blocks(h))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array(bits, pa.list_(pa.int64())), pa.array(blocks, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "bits", "blocks"])
+                keys, of = _blocks(h)
+                blocks.append(keys)
+                tags.append(of)
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bits, blocks, tags)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), *lists], names=["doc_id", "text_hash", "bits", "blocks", "tags"])
 
     return rows
 
@@ -136,33 +145,23 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def _sized(keyed: DataFrame, by: list[str]) -> DataFrame:
-    """The rows of keyed whose key occurs more than once, with its count."""
-    shared = materialize(keyed.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    return materialize(keyed.join(shared, by), "candidates")
-
-
-def _all_pairs(rows: DataFrame, by: list[str]) -> DataFrame:
-    other = rows.select(*by, F.col("rep").alias("b"))
-    return rows.select(*by, F.col("rep").alias("a")).join(other, by).where("a < b").select("a", "b")
-
-
-def pairs(nodes: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b): the pairs of nodes (rep, blocks) that share a block, to be verified."""
-    keyed = nodes.select("rep", F.explode("blocks").alias("k1"))
-    one = _sized(keyed, ["k1"])
-    found = _all_pairs(one.where(F.col("n") <= hot), ["k1"])
-    large = one.where(F.col("n") > hot).select("rep", "k1")
-    # the members of a large bucket, by each other block of theirs
-    again = large.join(keyed.withColumnRenamed("k1", "k2"), "rep").where("k1 != k2").select("rep", F.least("k1", "k2").alias("k1"), F.greatest("k1", "k2").alias("k2")).distinct()
-    two = _sized(materialize(again, "second"), ["k1", "k2"])
-    found = found.unionByName(_all_pairs(two.where(F.col("n") <= hot), ["k1", "k2"]))
-    # the rest: centre and ring, by a hash of member and bucket; salted, so that no bucket is one task
-    rest = two.where(F.col("n") > hot).withColumn("h", F.xxhash64("rep", "k1", "k2"))
-    centre = materialize(rest.groupBy("k1", "k2").agg(F.min_by("rep", "h").alias("a")), "centres")
-    rest = materialize(rest, "large")
-    star = rest.select("k1", "k2", F.col("rep").alias("b")).join(centre, ["k1", "k2"]).where("a != b").select("a", "b")
-    ring = Window.partitionBy("k1", "k2", F.pmod("h", F.lit(RING))).orderBy("h")
-    ring = rest.withColumn("a", F.lag("rep").over(ring)).where("a is not null").select("a", F.col("rep").alias("b"))
+    """Rows (rep, of, *by) whose key has more than one `of`, with the number of rows of the key."""
+    shared = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("of").alias("_a"), F.max("of").alias("_b")).where("_a < _b").drop("_a", "_b")
+    return materialize(keyed.join(materialize(shared, "buckets"), by), "candidates")
+
+
+def _meet(rows: DataFrame, by: list[str], hot: int) -> DataFrame:
+    """(a, b) of rows (rep, of, *by, n) that share a key but not `of`: all with all, or in large buckets
+    centre with member and member with the next."""
+    small = rows.where(F.col("n") <= hot)
+    one, two = small.select(*by, F.col("rep").alias("a"), F.col("of").alias("_a")), small.select(*by, F.col("rep").alias("b"), F.col("of").alias("_b"))
+    found = one.join(two, by).where("a < b and _a != _b").select("a", "b")
+    large = materialize(rows.where(F.col("n") > hot).withColumn("h", F.xxhash64("rep", *by)), "large")
+    centre = materialize(large.groupBy(*by).agg(F.min_by(F.struct("rep", "of"), "h").alias("c")).select(*by, F.col("c.rep").alias("a"), F.col("c.of").alias("_a")), "centres")
+    star = large.select(*by, F.col("rep").alias("b"), F.col("of").alias("_b")).join(centre, by).where("a != b and _a != _b").select("a", "b")
+    # the ring of a large bucket is in parts, so that no bucket is one task
+    ring = Window.partitionBy(*by, F.pmod("h", F.lit(RING))).orderBy("h")
+    ring = large.withColumn("a", F.lag("rep").over(ring)).withColumn("_a", F.lag("of").over(ring)).where("a is not null and _a != of").select("a", F.col("rep").alias("b"))
     both = star.unionByName(ring).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return found.unionByName(both).distinct()
 
@@ -171,6 +170,33 @@ def pairs(nodes: DataFrame, hot: int = HOT) -> DataFrame:
 RING = 16
 
 
+def _near(met: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b, d) of met that may be similar, with their Hamming distance."""
+    half = materialize(met.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("x")), "a"), "pairs")
+    both = half.join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("y")), "b")
+    differ = [F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS)]
+    return materialize(both.select("a", "b", sum(differ[1:], differ[0]).alias("d")).where(F.col("d") <= most_bits(similarity, FAR)), "near")
+
+
+def _apart(rows: DataFrame, found: DataFrame, ends: list[str]) -> DataFrame:
+    """rows with of_<end>, the component of each of their ends."""
+    for end in ends:
+        rows = rows.join(found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return rows
+
+
+def _in_parts(large: DataFrame, same: DataFrame) -> DataFrame:
+    """(rep, of, k1, k2): members of large buckets by pairs of two blocks of theirs with as many classes, of which one
+    at least is large; a pair once for each member, so at most SECOND * (SECOND - 1) rows each."""
+    mine = large.groupBy("rep", "of").agg(F.collect_list(F.struct("tag", F.col("k1").alias("key"))).alias("mine"))
+    every = F.filter(F.transform(F.arrays_zip("tags", "blocks"), lambda x: F.struct(x["tags"].alias("tag"), x["blocks"].alias("key"))), lambda x: x["tag"] % BLOCKS < SECOND)
+    keys = F.transform("mine", lambda x: x["key"])
+    level = lambda x: F.floor(x["tag"] / BLOCKS)
+    once = lambda x, y: (level(x) == level(y)) & (x["key"] != y["key"]) & ((x["key"] < y["key"]) | ~F.array_contains(keys, y["key"]))
+    found = F.flatten(F.transform("mine", lambda x: F.transform(F.filter(every, lambda y: once(x, y)), lambda y: F.struct(F.least(x["key"], y["key"]).alias("k1"), F.greatest(x["key"], y["key"]).alias("k2")))))
+    return mine.join(same.select("rep", "blocks", "tags"), "rep").select("rep", "of", F.explode(found).alias("k")).select("rep", "of", "k.*")
+
+
 def _similar(docs: DataFrame, nodes: DataFrame, unsure: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of unsure whose sets of shingles are as similar."""
     need = unsure.select(F.col("a").alias("rep")).union(unsure.select("b")).distinct()
@@ -188,22 +214,26 @@ def _similar(docs: DataFrame, nodes: DataFrame, unsure: DataFrame, size: int, si
 def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for every document with a doc_id; the component is its smallest doc_id."""
     sketched = materialize(sketches(docs, size).where("doc_id is not null"), "sketches")
-    same = materialize(sketched.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "texts")
-    met = materialize(pairs(same.select("rep", "blocks")), "pairs")
+    same = materialize(sketched.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks"), F.first("tags").alias("tags")), "texts")
     bits = same.select("rep", "bits")
-    half = materialize(met.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("x")), "a"), "pairs")
-    whole = half.join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("y")), "b")
-    differ = [F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS)]
-    near = whole.select("a", "b", sum(differ[1:], differ[0]).alias("d")).where(F.col("d") <= most_bits(similarity, FAR))
-    near = materialize(near, "near")
-    sure = near.where(F.col("d") <= most_bits(similarity, SURE)).select("a", "b")
-    found = connected_components(sure, "a", "b")
-    apart = near.where(F.col("d") > most_bits(similarity, SURE)).select("a", "b")
-    for end in ("a", "b"):
-        apart = apart.join(found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
-    apart = materialize(apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "apart")
+    keyed = same.select("rep", F.explode(F.arrays_zip("blocks", "tags")).alias("b")).select("rep", F.col("rep").alias("of"), F.col("b.blocks").alias("k1"), F.col("b.tags").alias("tag"))
+    one = _sized(keyed, ["k1"])
+    near = _near(_meet(one, ["k1"], HOT), bits, similarity)
+    sure = F.col("d") <= most_bits(similarity, SURE)
+    found = connected_components(near.where(sure), "a", "b")
+    # what large buckets have in several components, by each other block of the members
+    split = one.where((F.col("n") > HOT) & (F.col("tag") % BLOCKS < SECOND)).select("rep", "k1", "tag")
+    large = materialize(_sized(_apart(split, found, ["rep"]).withColumnRenamed("of_rep", "of"), ["k1"]).drop("n"), "large")
+    if not large.isEmpty():
+        again = materialize(_in_parts(large, same), "second")
+        more = _near(_meet(_sized(again, ["k1", "k2"]), ["k1", "k2"], HOT), bits, similarity)
+        near = materialize(near.unionByName(more).distinct(), "near")
+        found = connected_components(near.where(sure), "a", "b")
+    apart = _apart(near.where(~sure).select("a", "b"), found, ["a", "b"]).where("of_a != of_b")
+    apart = materialize(apart.select("a", "b"), "apart")
     if not apart.isEmpty():
-        found = connected_components(sure.unionByName(_similar(docs, same, apart, size, similarity)), "a", "b")
+        linked = near.where(sure).select("a", "b").unionByName(_similar(docs, same, apart, size, similarity))
+        found = connected_components(linked, "a", "b")
     label = same.join(found, same.rep == found.node, "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
     return sketched.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
 
