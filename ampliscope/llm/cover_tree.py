@@ -39,7 +39,7 @@ POINTS, QUERIES = 8192, 2048
 #: A node of so many points or fewer isn't split.
 LEAF = 16
 #: Leaves that a leaf of queries meets at a time.
-TOGETHER = 32
+TOGETHER = 64
 #: By how much the covering radius shrinks from a node to its children.
 BASE = 1.3
 
@@ -140,13 +140,19 @@ class Search:
 
     def _base(self, q: Node, points: np.ndarray) -> None:
         score = self.queries.vectors[q.points] @ self.points.vectors[points].T
-        ids = self.ids[points]
-        score[self.query_ids[q.points][:, None] == ids] = -np.inf
-        all_scores = np.concatenate((self.best_score[q.points], score), 1)
-        all_ids = np.concatenate((self.best_id[q.points], np.broadcast_to(ids, score.shape)), 1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, : self.k]
-        self.best_score[q.points] = np.take_along_axis(all_scores, order, 1)
-        self.best_id[q.points] = np.take_along_axis(all_ids, order, 1)
+        # an equal score may still win by its id
+        gains = score >= self.best_score[q.points, -1][:, None]
+        if not gains.any():
+            return
+        for own, scores, gain in zip(q.points, score, gains):
+            rows = np.flatnonzero(gain)
+            ids = self.ids[points[rows]]
+            other = ids != self.query_ids[own]
+            if other.any():
+                scores = np.concatenate((self.best_score[own], scores[rows[other]]))
+                ids = np.concatenate((self.best_id[own], ids[other]))
+                order = np.lexsort((ids, -scores))[: self.k]
+                self.best_score[own], self.best_id[own] = scores[order], ids[order]
         q.worst = max(q.worst, float(self.best_score[q.points, -1].min()))
 
     def rows(self) -> Iterator[tuple[int, int, int]]:
