@@ -50,7 +50,7 @@ BITS = 64 * WORDS
 SURE, FAR = -3.5, 3.0
 #: Shingles of a class, about, and classes whose SimHash is a block.
 CLASS, BLOCKS = 8, 16
-HOT = 32
+HOT = 8
 #: Classes that split large buckets.
 SECOND = 10
 ODD = np.uint64(0x9E3779B97F4A7C15)
