@@ -12,15 +12,15 @@ all differ with a chance of 1 in 100,000.
 
 Pairs that share a block are joined and their Hamming distance over the 1024 bits
 verified. Where it is 3.5 standard deviations below that of similarity 0.8, they are
-linked; where it is up to 3 above, the shingles of the two decide, but only for pairs
-that the sure links leave apart.
+linked. In a bucket of over `HOT` texts a member meets the bucket's centre and the next
+member only, each chosen by another hash in each bucket: thousands of near copies need
+a link to each other, not all links.
 
-In a bucket of over `HOT` texts a member first meets the bucket's centre and the next
-member only, each chosen by another hash in each bucket: thousands of near copies
-need a link to each other, not all links. Members of buckets that this leaves in
-several components then meet in the parts into which a second block of the same
-number of classes, one of the first `SECOND`, splits the bucket: all with all, or
-again centre and next member where over `HOT` are left.
+What these quick links leave in different components is compared exactly. All texts
+order their shingles alike, those common in the corpus last; two sets of similarity s
+share one of the first n - ceil(s n) + 1 of each. Every pair that shares one, isn't in
+one component yet and may still have enough shingles in common behind it is decided by
+the shingles of the two. Shingles of over `PART` texts are paired in salted blocks.
 
 Texts that are equal after lower-casing A-Z and joining their words by spaces are one
 node. Defined cases: texts without a word, null ones too, are equal texts; with fewer
@@ -46,13 +46,15 @@ from ampliscope.llm.simhash import SEED, shingle_hashes
 SHINGLE, SIMILARITY = 5, 0.8
 WORDS = 16
 BITS = 64 * WORDS
-#: Standard deviations of the distance within which the shingles themselves decide.
-SURE, FAR = -3.5, 3.0
+#: Standard deviations of the distance below which pairs are linked.
+SURE = -3.5
 #: Shingles of a class, about, and classes whose SimHash is a block.
 CLASS, BLOCKS = 8, 16
 HOT = 8
-#: Classes that split large buckets.
-SECOND = 10
+#: Texts of a shingle that one block pairs with as many others.
+PART = 256
+#: Counters of the shingles that are common.
+SLOTS = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -144,8 +146,65 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketches(size), SKETCH)
 
 
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(44)).astype(np.int64)
+
+
+def _counts(size: int):
+    """(slot, n) of the shingles of a task, where n stands out from what chance puts in a slot."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
+                seen[_slot(_features(text, size))] += 1
+        mean = seen.mean()
+        slots = np.flatnonzero(seen > mean + 4 * math.sqrt(mean) + 2)
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(seen[slots], pa.int64())], names=["slot", "n"])
+
+    return rows
+
+
+def _prefixes(size: int, similarity: float, slots: np.ndarray, counts: np.ndarray):
+    """The first shingles of every text, by how common they are, that a similar text can't be without."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.zeros(SLOTS, np.int64)
+        often[slots] = counts
+        for batch in batches:
+            same, sizes, firsts = [], [], []
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                h = _features(text, size)
+                least = math.ceil(similarity * len(h) - 1e-6)
+                same.append(_same(text))
+                sizes.append(len(h))
+                firsts.append(h[np.lexsort((h, often[_slot(h)]))[: len(h) - least + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=["rep", "text_hash", "size", "firsts"])
+
+    return rows
+
+
+def _unmet(docs: DataFrame, same: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(a, b): every pair of different components of found that may be similar, by a shared first shingle."""
+    # at most SLOTS rows, whatever the input
+    common = docs.select("text").mapInArrow(_counts(size), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    firsts = _prefixes(size, similarity, common["slot"].to_numpy(), common["n"].to_numpy())
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(firsts, "rep long, text_hash string, size int, firsts array<long>")
+    rows = rows.join(same.select("rep", "text_hash"), ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"])
+    rows = _apart(rows, found, ["rep"]).select("rep", F.col("of_rep").alias("of"), "size", F.posexplode("firsts").alias("at", "k1"))
+    rows = _sized(materialize(rows, "firsts"), ["k1"])
+    # every text of a part meets every part of its shingle
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    rows = rows.withColumns({"p": F.pmod(F.xxhash64("rep"), parts).cast("int"), "q": F.explode(F.sequence(F.lit(0), parts - 1)), "left": F.col("size") - F.col("at")})
+    one = rows.select("k1", "p", "q", F.col("rep").alias("a"), F.col("of").alias("_a"), F.col("size").alias("m"), F.col("left").alias("x"))
+    two = rows.select("k1", F.col("q").alias("p"), F.col("p").alias("q"), F.col("rep").alias("b"), F.col("of").alias("_b"), F.col("size").alias("l"), F.col("left").alias("y"))
+    # the first shared shingle and those behind it are all that two can have in common
+    enough = F.least("x", "y") >= (F.col("m") + F.col("l")) * (similarity / (1 + similarity)) - 1e-6
+    return materialize(one.join(two, ["k1", "p", "q"]).where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b")) & enough).select("a", "b").distinct(), "unmet")
+
+
 def _sized(keyed: DataFrame, by: list[str]) -> DataFrame:
-    """Rows (rep, of, *by) whose key has more than one `of`, with the number of rows of the key."""
+    """Rows whose key has more than one `of`, with the number of rows of the key."""
     shared = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("of").alias("_a"), F.max("of").alias("_b")).where("_a < _b").drop("_a", "_b")
     return materialize(keyed.join(materialize(shared, "buckets"), by), "candidates")
 
@@ -171,11 +230,11 @@ RING = 16
 
 
 def _near(met: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b, d) of met that may be similar, with their Hamming distance."""
+    """The pairs (a, b) of met whose Hamming distance leaves no doubt that they are similar."""
     half = materialize(met.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("x")), "a"), "pairs")
     both = half.join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("y")), "b")
     differ = [F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS)]
-    return materialize(both.select("a", "b", sum(differ[1:], differ[0]).alias("d")).where(F.col("d") <= most_bits(similarity, FAR)), "near")
+    return materialize(both.where(sum(differ[1:], differ[0]) <= most_bits(similarity, SURE)).select("a", "b"), "near")
 
 
 def _apart(rows: DataFrame, found: DataFrame, ends: list[str]) -> DataFrame:
@@ -185,18 +244,6 @@ def _apart(rows: DataFrame, found: DataFrame, ends: list[str]) -> DataFrame:
     return rows
 
 
-def _in_parts(large: DataFrame, same: DataFrame) -> DataFrame:
-    """(rep, of, k1, k2): members of large buckets by pairs of two blocks of theirs with as many classes, of which one
-    at least is large; a pair once for each member, so at most SECOND * (SECOND - 1) rows each."""
-    mine = large.groupBy("rep", "of").agg(F.collect_list(F.struct("tag", F.col("k1").alias("key"))).alias("mine"))
-    every = F.filter(F.transform(F.arrays_zip("tags", "blocks"), lambda x: F.struct(x["tags"].alias("tag"), x["blocks"].alias("key"))), lambda x: x["tag"] % BLOCKS < SECOND)
-    keys = F.transform("mine", lambda x: x["key"])
-    level = lambda x: F.floor(x["tag"] / BLOCKS)
-    once = lambda x, y: (level(x) == level(y)) & (x["key"] != y["key"]) & ((x["key"] < y["key"]) | ~F.array_contains(keys, y["key"]))
-    found = F.flatten(F.transform("mine", lambda x: F.transform(F.filter(every, lambda y: once(x, y)), lambda y: F.struct(F.least(x["key"], y["key"]).alias("k1"), F.greatest(x["key"], y["key"]).alias("k2")))))
-    return mine.join(same.select("rep", "blocks", "tags"), "rep").select("rep", "of", F.explode(found).alias("k")).select("rep", "of", "k.*")
-
-
 def _similar(docs: DataFrame, nodes: DataFrame, unsure: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of unsure whose sets of shingles are as similar."""
     need = unsure.select(F.col("a").alias("rep")).union(unsure.select("b")).distinct()
@@ -216,24 +263,12 @@ def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILAR
     sketched = materialize(sketches(docs, size).where("doc_id is not null"), "sketches")
     same = materialize(sketched.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks"), F.first("tags").alias("tags")), "texts")
     bits = same.select("rep", "bits")
-    keyed = same.select("rep", F.explode(F.arrays_zip("blocks", "tags")).alias("b")).select("rep", F.col("rep").alias("of"), F.col("b.blocks").alias("k1"), F.col("b.tags").alias("tag"))
-    one = _sized(keyed, ["k1"])
-    near = _near(_meet(one, ["k1"], HOT), bits, similarity)
-    sure = F.col("d") <= most_bits(similarity, SURE)
-    found = connected_components(near.where(sure), "a", "b")
-    # what large buckets have in several components, by each other block of the members
-    split = one.where((F.col("n") > HOT) & (F.col("tag") % BLOCKS < SECOND)).select("rep", "k1", "tag")
-    large = materialize(_sized(_apart(split, found, ["rep"]).withColumnRenamed("of_rep", "of"), ["k1"]).drop("n"), "large")
-    if not large.isEmpty():
-        again = materialize(_in_parts(large, same), "second")
-        more = _near(_meet(_sized(again, ["k1", "k2"]), ["k1", "k2"], HOT), bits, similarity)
-        near = materialize(near.unionByName(more).distinct(), "near")
-        found = connected_components(near.where(sure), "a", "b")
-    apart = _apart(near.where(~sure).select("a", "b"), found, ["a", "b"]).where("of_a != of_b")
-    apart = materialize(apart.select("a", "b"), "apart")
-    if not apart.isEmpty():
-        linked = near.where(sure).select("a", "b").unionByName(_similar(docs, same, apart, size, similarity))
-        found = connected_components(linked, "a", "b")
+    keyed = same.select("rep", F.explode(F.arrays_zip("blocks", "tags")).alias("b")).select("rep", F.col("rep").alias("of"), F.col("b.blocks").alias("k1"))
+    near = _near(_meet(_sized(keyed, ["k1"]), ["k1"], HOT), bits, similarity)
+    found = connected_components(near, "a", "b")
+    unmet = _unmet(docs, same, found, size, similarity)
+    if not unmet.isEmpty():
+        found = connected_components(near.unionByName(_similar(docs, same, unmet, size, similarity)), "a", "b")
     label = same.join(found, same.rep == found.node, "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
     return sketched.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
 
