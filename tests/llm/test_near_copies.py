@@ -39,3 +39,16 @@ def test_near_copies_in_a_crowd_on_a_template(spark):
     assert len(set(want.values())) == 600
     got = components(spark, texts)
     assert missed(got, want) == 0 and got == want
+
+
+def test_near_copies_of_four_and_five_shingles(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    texts = []
+    for _ in range(60):
+        base = [word() for _ in range(8)]
+        texts += [" ".join(base), " ".join([*base, word()])]
+    want = brute(texts)
+    assert len(set(want.values())) == 60
+    got = components(spark, texts)
+    assert missed(got, want) == 0 and got == want
