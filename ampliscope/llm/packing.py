@@ -1,8 +1,10 @@
 """Best-fit packing of token sequences after Martello-Toth dominance reduction.
 
 Only how many pieces have each length matters for the packing, and there are at most
-`size` lengths. So the driver packs counts by length, not pieces: its work and the
-plan it hands out are bounded by the sequence size, whatever the input. The plan
+`size` lengths. So the driver packs counts by length, not pieces. Bins are fixed many
+at a time, as long as the proof holds for all of them: each step uses a length up or
+leaves few of it, so the driver's work and the plan that it hands out are bounded by
+the sequence size (24 runs for each length), whatever the input. The plan
 says which ranks within a length go to which sequences; each piece finds its place
 from its rank, which is made of counts by (length, salt) and a row number within.
 
@@ -79,7 +81,9 @@ class Plan:
         if len(least) < 2 or least[0] + least[1] > room:
             return [j, k], often
         if (len(least) < 3 or least.sum() > room) and self._best_pair(fits, there, room) <= k:
-            return [j, k], 1
+            # the proof looks at three pieces of a length at most: it holds while so many of j and k are left besides
+            spare = min(self.left[j], self.left[k]) - 4
+            return [j, k], max(1, int(spare // 2 if k == j else spare))
         return [], 0
 
     @staticmethod

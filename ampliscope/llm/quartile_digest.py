@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import materialize, ship
+from ampliscope.llm.common import begin_of, materialize, ship
 
 BUCKETS = 128
 #: A difference of this much, of at most 6 a bucket and 24 for the length, counts as unlike.
@@ -34,15 +34,21 @@ LENGTH_WORST = 24
 STEP = np.array([0, 1, 2, 6])
 
 
+#: Triplets that are counted at a time.
+CHUNK = 1 << 16
+
+
 def digest(data: bytes) -> str:
     b = np.frombuffer(data, dtype=np.uint8)
     length = min(255, int(math.log(len(b), LENGTH_BASE)) + 1) if len(b) else 0
     quartile = np.zeros(BUCKETS, dtype=np.uint8)
     if len(b) >= 3:
-        w = b.astype(np.uint32)
-        key = w[:-2] | (w[1:-1] << np.uint32(8)) | (w[2:] << np.uint32(16))
-        key *= np.uint32(2654435761)
-        counts = np.bincount(key >> np.uint32(25), minlength=BUCKETS)
+        counts = np.zeros(BUCKETS, dtype=np.int64)
+        for i in range(0, len(b) - 2, CHUNK):
+            w = b[i : i + CHUNK + 2].astype(np.uint32)
+            key = w[:-2] | (w[1:-1] << np.uint32(8)) | (w[2:] << np.uint32(16))
+            key *= np.uint32(2654435761)
+            counts += np.bincount(key >> np.uint32(25), minlength=BUCKETS)
         q = np.sort(counts)[[BUCKETS // 4 - 1, BUCKETS // 2 - 1, 3 * BUCKETS // 4 - 1]]
         quartile = (counts[:, None] > q).sum(1).astype(np.uint8)
     four = quartile.reshape(-1, 4)
@@ -89,9 +95,10 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     for batch in batches:
-        out, size = [], 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            text = text or ""
+        out = []
+        # a text at a time: only it and the one before are held as Python strings
+        for doc_id, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = cell.as_py() or ""
             own = digest(text.encode())
             if kept is None:
                 first = text
@@ -108,7 +115,8 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc_id, text, after in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for doc_id, text, after in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            text, after = text.as_py(), after.as_py()
             rows.append((doc_id, *_row(text, digest(text.encode()), after, digest(after.encode()))))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], names=NAMES)
@@ -123,8 +131,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     by_id = F.col("doc_id").desc_nulls_last()
-    # ranges of doc_id alone, as the keys that are sampled for them go to the driver
-    laid = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(by_id).sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
+    # ranges of doc_id and a text's first bytes, not of texts, as the keys that are sampled for them go to the driver
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    laid = rows.repartitionByRange(by_id, begin_of("text").asc_nulls_first()).sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
     done = materialize(laid.mapInArrow(_along, f"{RESULT}, part int, end string, text string"), "digests")
     # One number a range: as many as the shuffle has partitions.
     parts = sorted(r.part for r in done.where("end = 'first'").select("part").collect())

@@ -9,7 +9,9 @@ of a common value), which gives the same links with 65 rows for each.
 
 Defined cases: a text that is null or has no word has fingerprint zero, linked like
 any other; fewer words than a shingle: the whole sequence is one shingle. Repeated
-rows keep a row each; rows without doc_id take part, but give no component id.
+rows keep a row each; rows without doc_id take part and tie others together, but give
+no component id (a component of such rows alone has none). Only a `distance` of 2 is
+offered, as midpoints are exact for no other.
 An empty table gives an empty table. Other columns are not read.
 """
 
@@ -107,10 +109,13 @@ def links(nodes: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFra
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document."""
     prints = materialize(fingerprints(docs, size), "prints")
-    nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("rep")), "nodes")
-    found = connected_components(links(nodes, distance), "a", "b")
-    label = nodes.join(found, nodes.rep == found.node, "left").select("print", F.coalesce("component", "rep").alias("component_id"))
-    label = materialize(label, "labels")
+    nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "nodes")
+    # a node is a fingerprint, whether or not any of its rows has a doc_id
+    found = connected_components(links(nodes.select("print", F.col("print").alias("rep")), distance), "a", "b")
+    member = nodes.join(found, nodes["print"] == found["node"], "left").select("print", "least", F.coalesce("component", "print").alias("root"))
+    member = materialize(member, "members")
+    least = materialize(member.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    label = materialize(member.join(least, "root").select("print", "component_id"), "labels")
     # equal fingerprints may be very many: both sides are scans, which adaptive execution can split
     hexed = F.lpad(F.lower(F.hex("print")), 16, "0")
     return prints.join(label, "print").select("doc_id", hexed.alias("fingerprint"), "component_id")

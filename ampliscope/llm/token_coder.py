@@ -15,18 +15,21 @@ shifted by 16 bits at a time.
 
 A segment (a record of a file) is
 
-    AXR1, then as unsigned 32-bit: ids, lanes, ids a lane, documents, CRC-32 of the ids
+    AXR2, then as unsigned 32-bit: ids, lanes, ids a lane, documents
     as 64-bit: ids of the file's part before this segment
+    CRC-32 of the header and the tables
     for each document: doc_id (64-bit), ids (32-bit), 1 if doc_id is null (8-bit)
-    for each lane: 16-bit words (32-bit); then the words of all lanes
-    CRC-32 of all of the above
+    for each lane: 16-bit words, CRC-32 of the words, CRC-32 of the ids (each 32-bit)
+    then the words of all lanes
 
-all little-endian. Segments start and end with documents. The files are Parquet
+all little-endian. A lane is a block: it is decoded without the others
+(`decode_blocks`), and a damaged one is found and costs its own ids only. Segments
+start and end with documents. The files are Parquet
 tables with a row for each segment, so that they can be written, committed and read
 in any store that Spark reaches.
 
 Defined cases: a null or empty text has the end id only. Rows with equal doc_id are
-ordered by text; a null doc_id comes first. An empty table gives an empty table.
+ordered by text and may go to several parts; a null doc_id comes first. An empty table gives an empty table.
 Other columns are not read. Ids must be below 65536.
 """
 
@@ -35,6 +38,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +46,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import materialize, ship, slices, utf8
+from ampliscope.llm.common import begin_of, materialize, ship, slices, utf8
 from ampliscope.llm.tokens import encoder, vocabulary_path
 
-MAGIC = b"AXR1"
+MAGIC = b"AXR2"
 END_ID = 2
 #: Ids of a block, and of a segment at least, if there are so many.
 BLOCK, SEGMENT = 8192, 4 << 20
@@ -235,8 +239,9 @@ def decode_lanes(words: list[np.ndarray], steps: int) -> np.ndarray:
     return ids.T
 
 
-HEADER = struct.Struct("<4s5Iq")
+HEADER = struct.Struct("<4s4IqI")
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("ids", "<u4"), ("null", "u1")])
+LANE = np.dtype([("words", "<u4"), ("words_crc", "<u4"), ("ids_crc", "<u4")])
 
 
 def encode_segment(docs: list[tuple[int | None, np.ndarray]], before: int = 0) -> bytes:
@@ -244,34 +249,65 @@ def encode_segment(docs: list[tuple[int | None, np.ndarray]], before: int = 0) -
     ids = np.concatenate([x for _, x in docs]).astype("<u4")
     if len(ids) and int(ids.max()) >= 65536:
         raise ValueError("ids must be below 65536")
-    table = np.array([(0 if d is None else d, len(x), d is None) for d, x in docs], dtype=DOCUMENT)
-    lanes = max(1, -(-len(ids) // BLOCK), min(LANES, len(ids) // SHORT))
-    steps = -(-len(ids) // lanes)
-    padded = np.zeros(lanes * steps, np.int64)
-    padded[: len(ids)] = ids
-    words = encode_lanes(padded.reshape(lanes, steps)) if steps else []
-    head = HEADER.pack(MAGIC, len(ids), lanes if steps else 0, steps, len(docs), zlib.crc32(ids.tobytes()), before)
-    body = b"".join((head, table.tobytes(), np.array([len(w) for w in words], dtype="<u4").tobytes(), *(w.tobytes() for w in words)))
-    return body + struct.pack("<I", zlib.crc32(body))
+    table = np.array([(0 if d is None else d, len(x), d is None) for d, x in docs], dtype=DOCUMENT).tobytes()
+    lanes = max(1, -(-len(ids) // BLOCK), min(LANES, len(ids) // SHORT)) if len(ids) else 0
+    steps = -(-len(ids) // lanes) if lanes else 0
+    padded = np.zeros((lanes, steps), "<u4")
+    padded.ravel()[: len(ids)] = ids
+    words = encode_lanes(padded) if lanes else []
+    each = np.array([(len(w), zlib.crc32(w.tobytes()), zlib.crc32(x.tobytes())) for w, x in zip(words, padded)], dtype=LANE).tobytes()
+    head = HEADER.pack(MAGIC, len(ids), lanes, steps, len(docs), before, 0)[:-4]
+    return b"".join((head, struct.pack("<I", zlib.crc32(head + table + each)), table, each, *(w.tobytes() for w in words)))
+
+
+@dataclass
+class Segment:
+    """What a record says of itself, checked: documents, blocks and where the blocks' words lie."""
+
+    ids: int
+    steps: int
+    before: int
+    docs: np.ndarray
+    lanes: np.ndarray
+    words: list[np.ndarray]
+
+
+def open_segment(record: bytes) -> Segment:
+    if len(record) < HEADER.size:
+        raise ValueError("not a segment")
+    magic, n, lanes, steps, docs, before, crc = HEADER.unpack_from(record)
+    end = HEADER.size + docs * DOCUMENT.itemsize + lanes * LANE.itemsize
+    if magic != MAGIC or zlib.crc32(record[: HEADER.size - 4] + record[HEADER.size : end]) != crc:
+        raise ValueError("a segment's header has another checksum")
+    table = np.frombuffer(record, DOCUMENT, docs, HEADER.size)
+    each = np.frombuffer(record, LANE, lanes, HEADER.size + table.nbytes)
+    upto = end + 2 * np.concatenate(([0], np.cumsum(each["words"], dtype=np.int64)))
+    # a record that was cut off lacks its last words
+    words = [np.frombuffer(record[a:b][: (b - a) // 2 * 2], "<u2") if b <= len(record) else np.zeros(0, "<u2") for a, b in zip(upto.tolist(), upto[1:].tolist())]
+    return Segment(n, steps, before, table, each, words)
+
+
+def decode_blocks(record: bytes, blocks: list[int] | None = None) -> dict[int, np.ndarray | None]:
+    """The ids of blocks of a record (all by default), None for those that were damaged; the others don't suffer."""
+    own = open_segment(record)
+    wanted = range(len(own.lanes)) if blocks is None else blocks
+    good = [k for k in wanted if len(own.words[k]) == own.lanes["words"][k] and zlib.crc32(own.words[k].tobytes()) == own.lanes["words_crc"][k]]
+    out: dict[int, np.ndarray | None] = dict.fromkeys(wanted)
+    if good:
+        for k, ids in zip(good, decode_lanes([own.words[k] for k in good], own.steps).astype("<u4")):
+            if zlib.crc32(ids.tobytes()) == own.lanes["ids_crc"][k]:
+                out[k] = ids[: own.ids - k * own.steps]
+    return out
 
 
 def decode_segment(record: bytes) -> tuple[list[tuple[int | None, np.ndarray]], int]:
-    """The documents of a record and `before`; ValueError if it was damaged."""
-    if len(record) < HEADER.size + 4 or zlib.crc32(record[:-4]) != struct.unpack("<I", record[-4:])[0]:
-        raise ValueError("a segment's checksum is wrong")
-    magic, n, lanes, steps, docs, crc, before = HEADER.unpack_from(record)
-    if magic != MAGIC:
-        raise ValueError("not a segment")
-    table = np.frombuffer(record, DOCUMENT, docs, HEADER.size)
-    at = HEADER.size + table.nbytes
-    sizes = np.frombuffer(record, "<u4", lanes, at)
-    flat = np.frombuffer(record, "<u2", int(sizes.sum()), at + sizes.nbytes)
-    words = np.split(flat, np.cumsum(sizes)[:-1]) if lanes else []
-    ids = decode_lanes(words, steps).ravel()[:n].astype("<u4") if lanes else np.zeros(0, "<u4")
-    if zlib.crc32(ids.tobytes()) != crc:
-        raise ValueError("a segment's ids have another checksum")
-    parts = np.split(ids, np.cumsum(table["ids"])[:-1]) if docs else []
-    return [(None if d["null"] else int(d["doc_id"]), x) for d, x in zip(table, parts)], before
+    """The documents of a record and `before`; ValueError if any of it was damaged."""
+    own, blocks = open_segment(record), decode_blocks(record)
+    if damaged := [k for k, x in blocks.items() if x is None]:
+        raise ValueError(f"blocks {damaged} have another checksum")
+    ids = np.concatenate([*blocks.values(), np.zeros(0, "<u4")]).astype("<u4")
+    parts = np.split(ids, np.cumsum(own.docs["ids"])[:-1]) if len(own.docs) else []
+    return [(None if d["null"] else int(d["doc_id"]), x) for d, x in zip(own.docs, parts)], own.before
 
 
 def _write(path: str):
@@ -308,7 +344,8 @@ def write(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The files (part, segment) of all documents in ascending doc_id order: parts by range, segments in order."""
     ship(docs.sparkSession)
     by_id = F.col("doc_id").asc_nulls_first()
-    laid = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(by_id).sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    laid = rows.repartitionByRange(by_id, begin_of("text").asc_nulls_first()).sortWithinPartitions(by_id, F.col("text").asc_nulls_first())
     return materialize(laid.mapInArrow(_write(path or vocabulary_path()), "part int, segment binary"), "token-files")
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -253,3 +254,77 @@ def test_aliases(spark):
     assert got == {0: ("block", "alias"), 1: ("block", "alias"), 2: ("allow", "default"), 3: ("allow", "default"), 4: ("allow", "alias"), 5: ("allow", "alias"), 6: ("allow", "alias")}
     redirects = spark.createDataFrame([("http://free.org/c", "http://example.com/en/5")], "from_url string, to_url string")
     assert {r.page_id: r.verdict for r in url_filter.judge(pages, redirects=redirects).collect()}[2] == "block"
+
+
+def test_a_damaged_block_costs_its_own_ids_only():
+    rng = np.random.default_rng(4)
+    docs = [(i, np.minimum(rng.zipf(1.3, n), 49407).astype("<u4")) for i, n in enumerate((9000, 0, 20_000))]
+    record = token_coder.encode_segment(docs)
+    every = np.concatenate([x for _, x in docs])
+    blocks = token_coder.decode_blocks(record)
+    assert len(blocks) > 5 and (np.concatenate(list(blocks.values())) == every).all()
+    assert (token_coder.decode_blocks(record, [3])[3] == blocks[3]).all()
+    broken = bytearray(record)
+    broken[-10] ^= 4
+    left = token_coder.decode_blocks(bytes(broken))
+    assert [k for k, x in left.items() if x is None] == [len(blocks) - 1]
+    assert all((x == blocks[k]).all() for k, x in left.items() if x is not None)
+    cut = token_coder.decode_blocks(record[:-2])
+    assert [k for k, x in cut.items() if x is None] == [len(blocks) - 1]
+    broken = bytearray(record)
+    broken[30] ^= 1
+    with pytest.raises(ValueError):
+        token_coder.open_segment(bytes(broken))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 10**7), min_size=1, max_size=40))
+def test_the_plan_is_bounded_by_the_size(counts):
+    plan = packing.Plan(counts, 64)
+    assert len(plan.runs) <= 24 * 64
+    placed = Counter()
+    for length, _, n, _, _ in plan.runs:
+        placed[length] += n
+    assert placed == counts
+
+
+@pytest.mark.parametrize("n", [1000, 64_000, 10**8])
+def test_the_plan_does_not_grow_with_the_rows(n):
+    plan = packing.Plan({1300: n, 700: n, 300: n}, 2048)
+    assert len(plan.runs) < 100 and plan.sequences >= -(-2300 * n // 2048)
+
+
+def test_rows_without_an_id_tie_components_together(spark):
+    """A and C are 4 bits apart, both 2 from a fingerprint that only a row without doc_id has."""
+    prints = {5: 0, None: 0b11, 9: 0b1111, 7: 0xF0F << 40}
+    df = spark.createDataFrame([(d, str(p)) for d, p in prints.items()], "doc_id long, text string")
+    real, simhash.fingerprints = simhash.fingerprints, lambda docs, size=3: docs.select("doc_id", F.col("text").cast("long").alias("print"))
+    try:
+        got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
+    finally:
+        simhash.fingerprints = real
+    assert got == {5: 5, None: 5, 9: 5, 7: 7}
+
+
+def test_digest_against_a_loop():
+    rng = random.Random(2)
+    for n in (0, 1, 2, 3, 50, 5000, 140_000):
+        data = bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+        counts = [0] * 128
+        for i in range(n - 2):
+            counts[(int.from_bytes(data[i : i + 3], "little") * 2654435761 % 2**32) >> 25] += 1
+        q = sorted(counts)
+        cuts = q[31], q[63], q[95]
+        quartile = [sum(c > x for x in cuts) for c in counts] if n >= 3 else [0] * 128
+        packed = bytes(sum(quartile[4 * i + k] << 2 * k for k in range(4)) for i in range(32))
+        length = min(255, int(np.log(n) / np.log(1.1) + 1e-12) + 1) if n else 0
+        assert quartile_digest.digest(data) == f"{length:02x}{packed.hex()}"
+
+
+def test_likeness_against_a_loop():
+    rng = random.Random(3)
+    for _ in range(50):
+        a, b = (f"{rng.randrange(256):02x}{rng.randbytes(32).hex()}" for _ in range(2))
+        x, y = (bytes.fromhex(d) for d in (a, b))
+        cost = min(24, abs(x[0] - y[0])) + sum([0, 1, 2, 6][abs((p >> s & 3) - (q >> s & 3))] for p, q in zip(x[1:], y[1:]) for s in (0, 2, 4, 6))
+        assert quartile_digest.likeness(a, b) == pytest.approx(max(0, 1 - cost / 240))
