@@ -328,3 +328,35 @@ def test_likeness_against_a_loop():
         x, y = (bytes.fromhex(d) for d in (a, b))
         cost = min(24, abs(x[0] - y[0])) + sum([0, 1, 2, 6][abs((p >> s & 3) - (q >> s & 3))] for p, q in zip(x[1:], y[1:]) for s in (0, 2, 4, 6))
         assert quartile_digest.likeness(a, b) == pytest.approx(max(0, 1 - cost / 240))
+
+
+def test_machine_learns_a_pair_that_is_neutral_alone():
+    """Label 1 if exactly one of two terms is there: neither term tells anything alone."""
+    rng = np.random.default_rng(5)
+    rows, y = [], []
+    for _ in range(4000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.unique(np.concatenate(([1] * int(a), [2] * int(b), rng.integers(10, 60, 4)))).astype(np.int64))
+        y.append(float(a != b))
+    machine = toxicity.train(rows[:3200], np.array(y[:3200]))
+    own = [np.searchsorted(machine.terms, np.intersect1d(r, machine.terms)) for r in rows[3200:]]
+    assert ((machine.logits(own) > 0) == (np.array(y[3200:]) > 0)).mean() > 0.95
+
+
+def test_logits_are_the_sum_over_all_pairs():
+    rng = np.random.default_rng(6)
+    machine = toxicity.Machine(np.arange(30), 0.3, rng.normal(0, 1, 30), rng.normal(0, 1, (30, 8)))
+    rows = [np.sort(rng.choice(30, n, replace=False)) for n in (0, 1, 2, 9, 30)]
+    for got, r in zip(machine.logits(rows), rows):
+        want = 0.3 + sum(machine.weights[i] for i in r) + sum(float(machine.vectors[i] @ machine.vectors[j]) for i in r for j in r if i < j)
+        assert got == pytest.approx(want)
+
+
+def test_held_out_toxicity(spark):
+    import duckdb
+
+    own = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{own}/{t}.parquet") for t in ("documents", "labels"))
+    found = toxicity.toxicity(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"), labels).toPandas()  # noqa: F841  for the SQL
+    hit, said, true, n = duckdb.sql(f"select sum((predicted = 1 and toxic = 1)::int), sum(predicted), sum(toxic::int), count(*) from found join '{own}/labels.parquet' l using (doc_id) where held_out and toxic is not null").fetchone()
+    assert n > 500 and hit / said > 0.9 and hit / true > 0.75
