@@ -1,16 +1,24 @@
 """Exact top-k inner-product search by dual-tree search over cover trees.
 
-Vectors go into blocks by a hash of their id; each block gets a cover tree, and so
-does each block of queries. A node has a centre (one of its points), a covering
-radius and a list of children; at each level down the tree the covering radius
-shrinks by `BASE` and centres lie further apart than it. A pair of nodes is searched depth
-first, best bound first, and left out if no query below the one can gain from any
-point below the other: the inner product of any two of their points is at most
+Vectors go to the nearest of at most `PIVOTS` pivots, which are spread over a bounded
+sample (farthest first); a pivot's vectors are a cell, a large cell is several blocks.
+A cell has its pivot as centre and a covering radius, so no vector of it scores more
+with a query q than q . c + |q| R. Queries first meet the cell of the largest q . c,
+which gives each a kth score to beat; then only the cells whose bound reaches it.
+
+Where a block of points meets the queries that come to it, each side gets a cover
+tree. A node has a centre (one of its points), a covering radius and children; the
+children's covering radius is smaller by `BASE`, and their centres lie further apart
+than it. A pair of nodes is searched depth first, best bound first, and left out if
+no query below the one can gain from any point below the other: the inner product of
+any two of their points is at most
 (q + dq) . (r + dr) <= q.r + |r| Rq + |q| Rr + Rq Rr, and the group of queries has a
-worst kth score. Every block of queries meets every block of points as one cogroup;
-the k best of each pair of blocks are merged by query.
+worst kth score, which starts from the scores that the queries bring along.
 
-Scores are integers, so ties are exact and go to the smaller id.
+Scores are whole numbers, computed as doubles where they stay below 2^53 and else as
+64-bit integers (beyond 2^63 they wrap), so ties are exact and go to the smaller id.
+Pivots, radii and counts are all that the driver sees: at most `PIVOTS` rows, and one
+for each length of vector that the sample lacks.
 
 Defined cases: vectors that are null, hold a null or non-finite component, or have
 no id or no component take no part; one of another length than a query has no score
@@ -34,12 +42,14 @@ from ampliscope.llm.common import materialize, ship
 
 SCALE = 256
 K, EVERY = 5, 50
-#: Rows of a block of points and of a block of queries, about.
+#: Rows of a block of points, and of queries that meet it in one task, about.
 POINTS, QUERIES = 8192, 2048
+#: Pivots at most, points for each of them at least, about, and the vectors that they are chosen from.
+PIVOTS, EACH, SAMPLE = 1024, 2048, 16_384
 #: A node of so many points or fewer isn't split.
-LEAF = 16
+LEAF = 64
 #: Leaves that a leaf of queries meets at a time.
-TOGETHER = 64
+TOGETHER = 16
 #: By how much the covering radius shrinks from a node to its children.
 BASE = 1.3
 
@@ -61,6 +71,7 @@ class Node:
 
 class CoverTree:
     def __init__(self, vectors: np.ndarray):
+        self.whole = vectors.astype(np.int64)
         self.vectors = vectors.astype(np.float64)
         self.norms = np.sqrt((self.vectors**2).sum(1))
         rows = np.arange(len(vectors))
@@ -99,21 +110,31 @@ def _bounds(tree: CoverTree, node: Node, parent: Node) -> np.ndarray:
     return inner + parent.norms * node.radius + tree.norms[node.centre] * parent.radii + node.radius * parent.radii
 
 
+NOTHING = np.iinfo(np.int64).min
+
+
 class Search:
-    """The k best points of every query of one block in one block of points."""
+    """The k best points of every query of one tree in another; floor: scores below which a query needs none."""
 
-    def __init__(self, queries: CoverTree, query_ids: np.ndarray, points: CoverTree, ids: np.ndarray, k: int):
+    def __init__(self, queries: CoverTree, query_ids: np.ndarray, points: CoverTree, ids: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.queries, self.query_ids, self.points, self.ids, self.k = queries, query_ids, points, ids, k
-        self.best_score = np.full((len(query_ids), k), -np.inf)
+        self.best_score = np.full((len(query_ids), k), NOTHING)
         self.best_id = np.full((len(query_ids), k), np.iinfo(np.int64).max)
+        self.floor = np.full(len(query_ids), NOTHING) if floor is None else floor
+        most = float(queries.norms.max() * points.norms.max())
+        # doubles hold these sums exactly
+        self.small = most < 2.0**52
+        self.slack = 0.5 + most * 1e-9
         self._visit(queries.root, points.root)
 
+    def _need(self, rows: np.ndarray) -> np.ndarray:
+        return np.maximum(self.best_score[rows, -1], self.floor[rows])
+
     def _visit(self, q: Node, r: Node) -> None:
-        # scores are whole numbers: rounding in a bound is far below 1/2
         if not q.children and not r.children:
             self._base(q, r.points)
         elif q.children and (not r.children or q.radius >= r.radius):
-            bounds = _bounds(self.points, r, q) + 0.5
+            bounds = _bounds(self.points, r, q) + self.slack
             for i in np.argsort(-bounds, kind="stable"):
                 c = q.children[i]
                 c.worst = max(c.worst, q.worst)
@@ -121,9 +142,10 @@ class Search:
                     self._visit(c, r)
             q.worst = max(q.worst, min(c.worst for c in q.children))
         else:
-            bounds = _bounds(self.queries, q, r) + 0.5
+            bounds = _bounds(self.queries, q, r) + self.slack
             order = np.argsort(-bounds, kind="stable")
             if not q.children:
+                q.worst = max(q.worst, float(self._need(q.points).min()))
                 # children that are leaves meet the queries some at a time
                 leaves = order[~r.split[order]]
                 for i in range(0, len(leaves), TOGETHER):
@@ -139,27 +161,109 @@ class Search:
                 self._visit(q, r.children[i])
 
     def _base(self, q: Node, points: np.ndarray) -> None:
-        score = self.queries.vectors[q.points] @ self.points.vectors[points].T
+        if self.small:
+            score = (self.queries.vectors[q.points] @ self.points.vectors[points].T).astype(np.int64)
+        else:
+            score = self.queries.whole[q.points] @ self.points.whole[points].T
         # an equal score may still win by its id
-        gains = score >= self.best_score[q.points, -1][:, None]
-        if not gains.any():
-            return
-        for own, scores, gain in zip(q.points, score, gains):
-            rows = np.flatnonzero(gain)
-            ids = self.ids[points[rows]]
-            other = ids != self.query_ids[own]
-            if other.any():
-                scores = np.concatenate((self.best_score[own], scores[rows[other]]))
-                ids = np.concatenate((self.best_id[own], ids[other]))
-                order = np.lexsort((ids, -scores))[: self.k]
-                self.best_score[own], self.best_id[own] = scores[order], ids[order]
-        q.worst = max(q.worst, float(self.best_score[q.points, -1].min()))
+        gains = (score >= self._need(q.points)[:, None]) & (self.ids[points] != self.query_ids[q.points][:, None])
+        rows = np.flatnonzero(gains.any(1))
+        if len(rows):
+            columns = np.flatnonzero(gains[rows].any(0))
+            own, gains = q.points[rows], gains[np.ix_(rows, columns)]
+            scores = np.where(gains, score[np.ix_(rows, columns)], NOTHING)
+            ids = np.where(gains, self.ids[points[columns]], np.iinfo(np.int64).max)
+            scores, ids = np.concatenate((self.best_score[own], scores), 1), np.concatenate((self.best_id[own], ids), 1)
+            # of whole numbers, -x - 1 turns the order round without overflow
+            order = np.lexsort((ids, ~scores))[:, : self.k]
+            self.best_score[own], self.best_id[own] = np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+        q.worst = max(q.worst, float(self._need(q.points).min()))
 
     def rows(self) -> Iterator[tuple[int, int, int]]:
-        for i, scores in enumerate(self.best_score):
-            for score, own in zip(scores, self.best_id[i]):
-                if score > -np.inf:
-                    yield i, int(own), int(score)
+        found = (self.best_score > NOTHING) | (self.best_id < np.iinfo(np.int64).max)
+        for i, j in zip(*np.nonzero(found & (self.best_score >= self.floor[:, None]))):
+            yield int(i), int(self.best_id[i, j]), int(self.best_score[i, j])
+
+
+def spread(vectors: np.ndarray, most: int) -> np.ndarray:
+    """Rows of `most` vectors, or of all distinct ones, each the furthest from those before."""
+    chosen, distance = [0], np.full(len(vectors), np.inf)
+    while len(chosen) <= most:
+        d = vectors - vectors[chosen[-1]]
+        distance = np.minimum(distance, np.einsum("ij,ij->i", d, d))
+        chosen.append(int(np.argmax(distance)))
+        if distance[chosen[-1]] == 0:
+            break
+    return np.array(chosen[:-1])
+
+
+@dataclass
+class Cells:
+    """For each length of vector: pivots; with the covering radius and the number of points of each."""
+
+    pivots: dict[int, np.ndarray]
+    radii: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def nearest(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each row and the distance to its pivot; without pivots, one cell around zero."""
+        pivots = self.pivots.get(v.shape[1], np.zeros((1, v.shape[1])))
+        square = (v**2).sum(1)[:, None] + (pivots**2).sum(1) - 2 * v @ pivots.T
+        cell = square.argmin(1)
+        d = v - pivots[cell]
+        return cell, np.sqrt(np.einsum("ij,ij->i", d, d))
+
+    def bounds(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """q . c and what no point of a cell scores more than, for every query and cell; empty cells: -inf."""
+        radii = self.radii.get(v.shape[1], np.full(1, -np.inf))
+        pivots = self.pivots.get(v.shape[1], np.zeros((1, v.shape[1])))
+        inner, norms = v @ pivots.T, np.sqrt((v**2).sum(1))[:, None]
+        most = inner + norms * np.where(np.isfinite(radii), radii, 0)
+        slack = 0.5 + norms * (np.sqrt((pivots**2).sum(1)) + np.where(np.isfinite(radii), radii, 0)) * 1e-9
+        return np.where(np.isfinite(radii), inner, -np.inf), np.where(np.isfinite(radii), most + slack, -np.inf)
+
+
+def _by_length(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    for _, own in frame.groupby(frame["v"].map(len), sort=True):
+        yield own, np.stack(own["v"].to_numpy())
+
+
+def _assign(cells: Cells):
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own, v in _by_length(frame):
+                cell, distance = cells.nearest(v.astype(np.float64))
+                yield own.assign(n=v.shape[1], cell=cell, distance=distance)
+
+    return rows
+
+
+def _first(cells: Cells):
+    """For each query the cell that it meets first."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own, v in _by_length(frame):
+                inner, _ = cells.bounds(v.astype(np.float64))
+                met = np.isfinite(inner).any(1)
+                yield own.assign(n=v.shape[1], cell=inner.argmax(1), floor=NOTHING)[met]
+
+    return rows
+
+
+def _others(cells: Cells):
+    """For each query (with `floor`, its kth score so far) the other cells that may hold a better point."""
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own, v in _by_length(frame):
+                inner, most = cells.bounds(v.astype(np.float64))
+                floor = own["floor"].to_numpy().astype(np.float64)[:, None]
+                meets = np.isfinite(inner) & (most >= floor)
+                meets[np.arange(len(v)), inner.argmax(1)] = False
+                row, cell = np.nonzero(meets)
+                yield own.iloc[row].assign(n=v.shape[1], cell=cell)
+
+    return rows
 
 
 RESULT = "query_row long, query_id long, vec_id long, score long"
@@ -168,17 +272,28 @@ COLUMNS = ["query_row", "query_id", "vec_id", "score"]
 
 def _meet(k: int):
     def rows(key: tuple, queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for length in set(queries["v"].map(len)) & set(points["v"].map(len)):
-            q, p = queries[queries["v"].map(len) == length], points[points["v"].map(len) == length]
-            ids, row = q["vec_id"].to_numpy(), q["query_row"].to_numpy()
-            found = Search(CoverTree(np.stack(q["v"])), ids, CoverTree(np.stack(p["v"])), p["vec_id"].to_numpy(), k)
-            out += [(row[i], ids[i], own, score) for i, own, score in found.rows()]
-        return pd.DataFrame(out, columns=COLUMNS).astype("int64")
+        if not len(queries) or not len(points):
+            return pd.DataFrame(columns=COLUMNS).astype("int64")
+        ids, row = queries["vec_id"].to_numpy(), queries["query_row"].to_numpy()
+        trees = CoverTree(np.stack(queries["v"].to_numpy())), CoverTree(np.stack(points["v"].to_numpy()))
+        found = Search(trees[0], ids, trees[1], points["vec_id"].to_numpy(), k, queries["floor"].to_numpy().astype(np.int64))
+        return pd.DataFrame([(row[i], ids[i], own, score) for i, own, score in found.rows()], columns=COLUMNS).astype("int64")
 
     return rows
 
 
+def _search(meets: DataFrame, points: DataFrame, counts: DataFrame, k: int) -> DataFrame:
+    """The k best of each cell for the queries that meet it. A block is paired with so many queries at a time."""
+    of = ["n", "cell"]
+    tasks = meets.groupBy(*of).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks")).join(counts, of)
+    tasks = materialize(tasks, "tasks")
+    key = [*of, "block", "chunk"]
+    left = meets.join(tasks, of).withColumn("chunk", F.pmod(F.xxhash64("query_row"), F.col("chunks")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = points.join(tasks, of).withColumn("block", F.pmod(F.xxhash64("vec_id", "salt"), F.col("blocks")).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    left, right = left.select(*key, "query_row", "vec_id", "v", "floor"), right.select(*key, "vec_id", "v")
+    return materialize(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_meet(k), RESULT), "met")
+
+
 def whole(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """(vec_id, v): the vectors that take part, as whole numbers."""
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -186,19 +301,37 @@ def whole(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & (F.size(column) > 0) & finite).select(F.col("vec_id").cast("long"), scaled.alias("v"))
 
 
+def _pivots(points: DataFrame, rows: int) -> Cells:
+    """Pivots from the `SAMPLE` vectors with the smallest hash of their id; shared among lengths by their part of it."""
+    chosen = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
+    most = min(PIVOTS, -(-rows // EACH))
+    return Cells({v.shape[1]: v[spread(v, max(1, most * len(v) // len(chosen)))].astype(np.float64) for _, v in _by_length(chosen)})
+
+
 def top_k(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of each row whose id is divisible by `every`."""
     ship(vectors.sparkSession)
-    points = materialize(whole(vectors), "vectors")
-    queries = points.where(F.col("vec_id") % every == 0).distinct().withColumn("query_row", F.xxhash64("vec_id", "v"))
-    blocks = max(1, -(-points.count() // POINTS))
-    groups = max(1, -(-queries.count() // QUERIES))
-    block = F.pmod(F.xxhash64(F.col("vec_id"), F.lit(1)), F.lit(blocks))
-    group = F.pmod(F.col("query_row"), F.lit(groups))
-    left = queries.withColumn("g", group).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    right = points.withColumn("b", block).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
-    met = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInPandas(_meet(k), RESULT)
+    base = materialize(whole(vectors), "vectors")
+    cells = _pivots(base, base.count())
+    points = base.mapInPandas(_assign(cells), "vec_id long, v array<long>, n int, cell int, distance double")
+    points = materialize(points.withColumn("salt", F.monotonically_increasing_id()), "points")
+    counts = materialize(points.groupBy("n", "cell").agg(F.ceil(F.count("*") / POINTS).cast("int").alias("blocks"), F.max("distance").alias("radius")), "cells")
+    for r in counts.collect():  # a row for each pivot at most, or length without one
+        radii = cells.radii.setdefault(r["n"], np.full(len(cells.pivots.get(r["n"], [0])), -np.inf))
+        radii[r["cell"]] = r["radius"]
+    counts = counts.drop("radius")
+    queries = base.where(F.col("vec_id") % every == 0).distinct().withColumn("query_row", F.xxhash64("vec_id", "v"))
+    queries = materialize(queries, "queries")
+    meets = "query_row long, vec_id long, v array<long>, floor long, n int, cell int"
+    names = ["query_row", "vec_id", "v", "floor", "n", "cell"]
+    near = lambda rows: (own[names] for own in _first(cells)(rows))
+    first = _search(materialize(queries.mapInPandas(near, meets), "meets"), points, counts, k)
     order = Window.partitionBy("query_row", "query_id").orderBy(F.desc("score"), "vec_id")
+    kth = first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k).select("query_row", F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    kth = queries.join(kth, ["query_row", "vec_id"], "left").withColumn("floor", F.coalesce("floor", F.lit(int(NOTHING))))
+    rest = lambda rows: (own[names] for own in _others(cells)(rows))
+    others = _search(materialize(kth.mapInPandas(rest, meets), "meets"), points, counts, k)
+    met = first.unionByName(others)
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -358,5 +358,42 @@ def test_held_out_toxicity(spark):
     own = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{own}/{t}.parquet") for t in ("documents", "labels"))
     found = toxicity.toxicity(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"), labels).toPandas()  # noqa: F841  for the SQL
-    hit, said, true, n = duckdb.sql(f"select sum((predicted = 1 and toxic = 1)::int), sum(predicted), sum(toxic::int), count(*) from found join '{own}/labels.parquet' l using (doc_id) where held_out and toxic is not null").fetchone()
+    hit, said, true, n = duckdb.sql(f"select sum((predicted = 1 and toxic = 1)::int), sum(predicted), sum(toxic::int), count(*) from found join '{own}/labels.parquet' l using (doc_id) where held_out and toxic is not null").fetchall()[0]
     assert n > 500 and hit / said > 0.9 and hit / true > 0.75
+
+
+def test_scores_beyond_doubles_are_exact(spark):
+    """Inner products above 2^53: neighbours that doubles can't tell apart."""
+    rng = random.Random(7)
+    rows = [(0, [3e6, 255 / 256])] + [(i, [3e6, (256 - i) / 256]) for i in range(1, 9)] + [(9, [-3e6, 1.0])]
+    rows += [(i, [rng.choice([2e6, 3e6]), rng.randint(0, 255) / 256]) for i in range(10, 80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = {i: [int(np.floor(x * 256)) for x in e] for i, e in rows}
+    want = []
+    for q in (0, 50):
+        scores = sorted((-(v[q][0] * p[0] + v[q][1] * p[1]), i) for i, p in v.items() if i != q)[:5]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    assert sorted(map(tuple, cover_tree.top_k(df).collect())) == sorted(want)
+
+
+def test_search_by_cells_is_exact(spark, monkeypatch):
+    """Many small cells and blocks, a hot vector, mixed lengths and norms."""
+    for name, value in (("POINTS", 40), ("QUERIES", 7), ("EACH", 20), ("SAMPLE", 150), ("LEAF", 4)):
+        monkeypatch.setattr(cover_tree, name, value)
+    rng = np.random.default_rng(3)
+    rows = [(int(i), (rng.normal(0, 1, 6) * rng.choice([0.2, 1, 5])).tolist()) for i in range(500)]
+    rows += [(1000 + i, rows[7][1]) for i in range(200)] + [(2000 + i, rng.normal(0, 1, 3).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    v = {i: np.floor(np.array(e) * 256).astype(np.int64) for i, e in rows}
+    want = []
+    for q in (i for i in v if i % 50 == 0):
+        scores = sorted((-int(v[q] @ p), i) for i, p in v.items() if i != q and len(p) == len(v[q]))[:5]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    assert sorted(map(tuple, cover_tree.top_k(df).collect())) == sorted(want)
+
+
+def test_far_cells_are_left_out():
+    cells = cover_tree.Cells({2: np.array([[100.0, 0], [-100, 0], [0, 100]])}, {2: np.array([5.0, 5, 5])})
+    frame = cover_tree.pd.DataFrame({"query_row": [1], "vec_id": [1], "v": [np.array([100, 0])], "floor": [9000]})
+    assert [list(x["cell"]) for x in cover_tree._others(cells)(iter([frame]))] == [[]]
+    assert [list(x["cell"]) for x in cover_tree._others(cells)(iter([frame.assign(floor=-20_000)]))] == [[1, 2]]
