@@ -83,6 +83,14 @@ def begin_of(text: str):
     return F.conv(F.rpad(F.hex(F.substring(F.encode(F.substring(text, 1, 7), "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the fifth of the documents that no model learns from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -1,32 +1,33 @@
-"""Near copies by similarity: wide SimHash fingerprints in blocks of shingle classes.
-
-A text's features are its distinct shingles of five words. Its fingerprint has 1024
-bits over all of them, to compare, and blocks to find whom to compare with: block k is
-the 64-bit SimHash of the shingles in class k, of as many classes as leave about
-eight shingles to each. Texts of similarity 0.8 differ in few shingles, so some class
-of the two has none of these: close pairs share a block, as by the pigeonhole. The
-first `BLOCKS` classes are used, at the text's own number of classes and at twice
-that, so that texts whose numbers differ by a step meet as well. At similarity 0.8
-a class of eight is equal with a chance of 0.17 and one of four of 0.41. Those of four
-are parts of those of eight, so the chance that all blocks differ is about 0.59^16, 1 in
-4,600, for two texts on the same level; the exact comparison below finds these too.
-
-Pairs that share a block are joined and their Hamming distance over the 1024 bits
-verified. Where it is 3.5 standard deviations below that of similarity 0.8, they are
-linked. In a bucket of over `HOT` texts a member meets the bucket's centre and the next
-member only, each chosen by another hash in each bucket: thousands of near copies need
-a link to each other, not all links.
-
-What these quick links leave in different components is compared exactly. All texts
-order their shingles alike, those common in the corpus last; two sets of similarity s
-share one of the first n - ceil(s n) + 1 of each. Every pair that shares one, isn't in
-one component yet and may still have enough shingles in common behind it is decided by
-the shingles of the two. Shingles of over `PART` texts are paired in salted blocks.
+"""Near copies by similarity: wide SimHash fingerprints in pigeonhole blocks, verified on the shingles.
+
+A text's features are its distinct shingles of five words. Its fingerprint has 256 bits
+over all of them, to compare, and blocks to find whom to compare with: block k is the
+64-bit SimHash of the shingles in class k, of as many classes as leave about eight
+shingles to each. Texts of similarity 0.8 differ in few shingles, so some class of the
+two may have none of these: then they share a block, as by the pigeonhole. The first
+`BLOCKS` classes are used, at the text's own number of classes and at twice that, so
+that texts whose numbers differ by a step meet as well.
+
+Pairs that share a block are joined, their Hamming distance is verified, and those
+within `SLACK` standard deviations of what similarity 0.8 gives are decided by their
+shingles. In a bucket of over `HOT` texts a member meets the bucket's centre only,
+chosen by another hash in each bucket: thousands of near copies need a link to each
+other, not all links.
+
+What these links leave in different components is then compared exactly, so that
+neither a block nor a distance loses a link. All texts order their shingles alike,
+those common in the corpus last; two sets of similarity s share one of the first
+n - ceil(s n) + 1 of each. Of the pairs that share one and aren't in one component yet,
+those are left out that can't reach s: by what lies behind the shared shingle, and by
+a bitmap of `FLAGS` bits that each shingle flips one of, as two bitmaps differ in no
+more bits than their sets in shingles. The rest is decided by the shingles of the two.
+Shingles of over `PART` texts are paired in salted blocks.
 
 Texts that are equal after lower-casing A-Z and joining their words by spaces are one
 node. Defined cases: texts without a word, null ones too, are equal texts; with fewer
 than five words, the whole sequence is the one shingle. Rows without doc_id are kept.
-Of repeated rows one stays. An empty table gives an empty table.
+Of repeated rows one stays. An empty table gives an empty table. Columns may have any
+names. A shingle is its 64-bit hash.
 """
 
 from __future__ import annotations
@@ -40,29 +41,72 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import materialize, ship
+from ampliscope.llm.common import discard, fresh, materialize, ship
 from ampliscope.llm.components import connected_components
-from ampliscope.llm.simhash import SEED, shingle_hashes
+from ampliscope.llm.simhash import SEED
 
 SHINGLE, SIMILARITY = 5, 0.8
-WORDS = 16
+WORDS = 4
 BITS = 64 * WORDS
-#: Standard deviations of the distance below which pairs are linked.
-SURE = -3.5
+#: Standard deviations of the distance up to which pairs of a block are decided by their shingles.
+SLACK = 3.0
 #: Shingles of a class, about, and classes whose SimHash is a block.
-CLASS, BLOCKS = 8, 16
+CLASS, BLOCKS = 8, 8
 HOT = 8
 #: Texts of a shingle that one block pairs with as many others.
 PART = 256
-#: Counters of the shingles that are common.
+#: Bits of a bitmap.
+FLAGS = 512
+#: Counters of the shingles that are common; flags of the texts whose shingles are needed.
 SLOTS = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Shingles that are hashed at a time.
+CHUNK = 1 << 16
 
 
-def most_bits(similarity: float, slack: float) -> int:
+def most_bits(similarity: float, slack: float, bits: int = 1024) -> int:
     """The Hamming distance that sets of this Jaccard similarity have, and `slack` standard deviations."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(BITS * p + slack * math.sqrt(BITS * p * (1 - p)))
+    return int(bits * p + slack * math.sqrt(bits * p * (1 - p)))
+
+
+def _powers(n: int, known: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  kept between calls
+    """ODD^i and its inverse modulo 2^64, for i up to n at least."""
+    if len(known.get("up", ())) <= n:
+        size = max(1 << 12, 1 << n.bit_length())
+        for name, base in (("up", int(ODD)), ("down", pow(int(ODD), -1, 1 << 64))):
+            known[name] = np.concatenate(([np.uint64(1)], np.cumprod(np.full(size, base, np.uint64))))
+    return known["up"], known["down"]
+
+
+def _hashes(words: list[bytes], size: int) -> np.ndarray:
+    """Of each run of `size` words, joined by spaces: a polynomial of its bytes modulo 2^64, mixed with its length."""
+    line = np.frombuffer(b" ".join(words), np.uint8)
+    spaces = np.flatnonzero(line == 32)
+    starts, ends = np.concatenate(([0], spaces + 1)), np.concatenate((spaces, [len(line)]))
+    up, down = _powers(len(line))
+    sums = np.concatenate(([np.uint64(0)], np.cumsum((line.astype(np.uint64) + np.uint64(1)) * up[: len(line)])))
+    a, b = starts[: len(words) - size + 1], ends[size - 1 :]
+    return _mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _words(text: bytes | None) -> list[bytes]:
+    return (text or b"").lower().split()  # of bytes: A-Z and the six ASCII spaces only
+
+
+def _of_words(words: list[bytes], size: int) -> np.ndarray:
+    """The distinct shingles, in order of their hashes."""
+    size = min(size, len(words))
+    parts = [_hashes(words[i : i + CHUNK + size - 1], size) for i in range(0, len(words) - size + 1, CHUNK)] if words else []
+    return np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]))
+
+
+def _features(text: bytes | None, size: int) -> np.ndarray:
+    return _of_words(_words(text), size)
+
+
+def _same(words: list[bytes]) -> str:
+    return xxhash.xxh3_128_hexdigest(b" ".join(words), SEED)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -73,7 +117,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _wide(h: np.ndarray) -> np.ndarray:
-    """Of 1024 bits of every shingle, those that over half have set: 16 words."""
+    """Of 256 bits of every shingle, those that over half have set: 4 words."""
     ones = np.zeros(BITS, np.int64)
     salt = np.arange(1, WORDS + 1, dtype=np.uint64) * ODD
     for i in range(0, len(h), 255):
@@ -82,9 +126,15 @@ def _wide(h: np.ndarray) -> np.ndarray:
     return np.packbits(ones * 2 > len(h), bitorder="little").view("<i8")
 
 
-def _blocks(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of the text's blocks, of the number of classes and the class with its SimHash; and these two as one number."""
-    keys, tags = [], []
+def _flags(h: np.ndarray) -> np.ndarray:
+    """A bitmap that every shingle flips one bit of."""
+    flips = np.bincount((h >> np.uint64(8)).astype(np.int64) % FLAGS, minlength=FLAGS) & 1
+    return np.packbits(flips.astype(bool), bitorder="little").view("<i8")
+
+
+def _blocks(h: np.ndarray) -> np.ndarray:
+    """The keys of the text's blocks, of the number of classes and the class with its SimHash."""
+    keys = []
     level = max(0, math.ceil(math.log2(max(1, len(h)) / CLASS)))
     for lv in (level, level + 1):
         of = h & np.uint64((1 << lv) - 1)
@@ -99,188 +149,172 @@ def _blocks(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bits = np.unpackbits(_mixed(own).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
         block = np.packbits(ones * 2 > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
-        tags.append(of[first] + lv * BLOCKS)
-        keys.append(_mixed(block + (tags[-1] + 1).astype(np.uint64) * ODD))
-    return (np.concatenate(keys).view(np.int64), np.concatenate(tags)) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-SKETCH = "doc_id long, text_hash string, bits array<long>, blocks array<long>, tags array<long>"
-
-
-def _features(text: bytes | None, size: int) -> np.ndarray:
-    return np.unique(np.concatenate([*shingle_hashes(text or b"", size), np.zeros(0, "<u8")]))
-
+        keys.append(_mixed(block + (of[first] + lv * BLOCKS + 1).astype(np.uint64) * ODD))
+    return np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
 
-def _same(text: bytes | None) -> str:
-    return xxhash.xxh3_128_hexdigest(b" ".join((text or b"").lower().split()), SEED)
 
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(44)).astype(np.int64)
 
-def _shingles(size: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            sets = pa.array([_features(t, size).view(np.int64) for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_same(t) for t in texts], pa.string()), sets], names=["rep", "text_hash", "shingles"])
 
-    return rows
+SKETCH = "doc_id long, text_hash string, bits array<long>, blocks array<long>, slot long, n long"
 
 
 def _sketches(size: int):
+    """A row for each text; and at a task's end (slot, n) of its shingles where n stands out from what chance puts in a slot."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.string()), ("bits", pa.list_(pa.int64())), ("blocks", pa.list_(pa.int64())), ("slot", pa.int64()), ("n", pa.int64())])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, np.int32)
         for batch in batches:
-            same, bits, blocks, tags = [], [], [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                h = _features(text, size)
-                same.append(_same(text))
-                bits.append(_wide(h))
-                keys, of = _blocks(h)
-                blocks.append(keys)
-                tags.append(of)
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (bits, blocks, tags)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), *lists], names=["doc_id", "text_hash", "bits", "blocks", "tags"])
+            same, bits, blocks = [], [], []
+            for cell in batch.column(1).cast(pa.binary()):
+                words = _words(cell.as_py())
+                h = _of_words(words, size)
+                seen[_slot(h)] += 1
+                same.append(_same(words)), bits.append(_wide(h)), blocks.append(_blocks(h))
+            none = pa.nulls(len(same), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), pa.array(bits, schema.field("bits").type), pa.array(blocks, schema.field("blocks").type), none, none], schema=schema)
+        mean = seen.mean()
+        slots = np.flatnonzero(seen > mean + 4 * math.sqrt(mean) + 2)
+        for i in range(0, len(slots), CHUNK):
+            part = slots[i : i + CHUNK]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part), f.type) for f in list(schema)[:4]), pa.array(part, pa.int64()), pa.array(seen[part], pa.int64())], schema=schema)
 
     return rows
 
 
-def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sketches(size), SKETCH)
-
-
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(44)).astype(np.int64)
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _counts(size: int):
-    """(slot, n) of the shingles of a task, where n stands out from what chance puts in a slot."""
+def _shingles(size: int, needed: np.ndarray):
+    """The shingles of the texts whose flag is needed."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                seen[_slot(_features(text, size))] += 1
-        mean = seen.mean()
-        slots = np.flatnonzero(seen > mean + 4 * math.sqrt(mean) + 2)
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(seen[slots], pa.int64())], names=["slot", "n"])
+            batch = batch.filter(pa.array(needed[batch.column(2).to_numpy()]))
+            same, sets = [], []
+            for cell in batch.column(1).cast(pa.binary()):
+                words = _words(cell.as_py())
+                same.append(_same(words)), sets.append(_of_words(words, size).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "text_hash", "shingles"])
 
     return rows
 
 
 def _prefixes(size: int, similarity: float, slots: np.ndarray, counts: np.ndarray):
-    """The first shingles of every text, by how common they are, that a similar text can't be without."""
+    """Of every text the bitmap, and the first shingles by how common they are, that a similar text can't be without."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.zeros(SLOTS, np.int64)
         often[slots] = counts
         for batch in batches:
-            same, sizes, firsts = [], [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                h = _features(text, size)
+            same, sizes, flags, firsts = [], [], [], []
+            for cell in batch.column(1).cast(pa.binary()):
+                words = _words(cell.as_py())
+                h = _of_words(words, size)
                 least = math.ceil(similarity * len(h) - 1e-6)
-                same.append(_same(text))
-                sizes.append(len(h))
+                same.append(_same(words)), sizes.append(len(h)), flags.append(_flags(h))
                 firsts.append(h[np.lexsort((h, often[_slot(h)]))[: len(h) - least + 1]].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=["rep", "text_hash", "size", "firsts"])
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (flags, firsts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), pa.array(sizes, pa.int32()), *lists], names=["rep", "text_hash", "size", "flags", "firsts"])
 
     return rows
 
 
-def _unmet(docs: DataFrame, same: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
+def _differ(x: str, y: str, words: int):
+    """The bits in which two arrays of longs differ."""
+    each = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(words)]
+    return sum(each[1:], each[0])
+
+
+def _by_blocks(same: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs of a block that are near by Hamming distance; in large buckets, of the centre and a member."""
+    keyed = same.select("rep", F.explode("blocks").alias("k"))
+    shared = materialize(keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    within = keyed.join(shared.hint("shuffle_hash"), "k").join(same.select("rep", "bits"), "rep")
+    within = materialize(within, "candidates")
+    near = _differ("x", "y", WORDS) <= most_bits(similarity, SLACK, BITS)
+    one = within.select("k", F.col("rep").alias("a"), F.col("bits").alias("x"), "n")
+    two = within.select("k", F.col("rep").alias("b"), F.col("bits").alias("y"))
+    all_pairs = one.where(F.col("n") <= HOT).join(two, "k").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    centre = one.where(F.col("n") > HOT).groupBy("k").agg(F.min_by(F.struct("a", "x"), F.xxhash64("a", "k")).alias("c")).select("k", "c.*")
+    star = two.join(materialize(centre, "centres"), "k").where((F.col("a") != F.col("b")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return materialize(all_pairs.unionByName(star).distinct(), "near")
+
+
+def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
     """(a, b): every pair of different components of found that may be similar, by a shared first shingle."""
     # at most SLOTS rows, whatever the input
-    common = docs.select("text").mapInArrow(_counts(size), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    firsts = _prefixes(size, similarity, common["slot"].to_numpy(), common["n"].to_numpy())
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(firsts, "rep long, text_hash string, size int, firsts array<long>")
-    rows = rows.join(same.select("rep", "text_hash"), ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"])
-    rows = _apart(rows, found, ["rep"]).select("rep", F.col("of_rep").alias("of"), "size", F.posexplode("firsts").alias("at", "k1"))
-    rows = _sized(materialize(rows, "firsts"), ["k1"])
+    counted = common.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    firsts = _prefixes(size, similarity, counted["slot"].to_numpy(), counted["n"].to_numpy())
+    rows = _plain(docs).where("doc_id is not null").mapInArrow(firsts, "rep long, text_hash string, size int, flags array<long>, firsts array<long>")
+    rows = rows.join(same.select("rep", "text_hash").hint("shuffle_hash"), ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"])
+    rows = rows.join(found.select(F.col("node").alias("rep"), F.col("component").alias("of")).hint("shuffle_hash"), "rep", "left")
+    rows = materialize(rows.withColumn("of", F.coalesce("of", "rep")), "firsts")
+    keyed = rows.select("rep", "text_hash", F.posexplode("firsts").alias("at", "k"))
+    of_key = rows.select("of", F.explode("firsts").alias("k")).groupBy("k").agg(F.count("*").alias("n"), F.min("of").alias("least"), F.max("of").alias("most"))
+    shared = materialize(of_key.where("least < most").select("k", "n"), "buckets")
+    within = keyed.join(shared.hint("shuffle_hash"), "k").join(rows.select("rep", "text_hash", "of", "size", "flags"), ["rep", "text_hash"])
     # every text of a part meets every part of its shingle
     parts = F.ceil(F.col("n") / PART).cast("int")
-    rows = rows.withColumns({"p": F.pmod(F.xxhash64("rep"), parts).cast("int"), "q": F.explode(F.sequence(F.lit(0), parts - 1)), "left": F.col("size") - F.col("at")})
-    one = rows.select("k1", "p", "q", F.col("rep").alias("a"), F.col("of").alias("_a"), F.col("size").alias("m"), F.col("left").alias("x"))
-    two = rows.select("k1", F.col("q").alias("p"), F.col("p").alias("q"), F.col("rep").alias("b"), F.col("of").alias("_b"), F.col("size").alias("l"), F.col("left").alias("y"))
+    within = materialize(within.withColumns({"parts": parts, "p": F.pmod(F.xxhash64("rep"), parts).cast("int"), "left": F.col("size") - F.col("at")}), "candidates")
+    every = within.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    names = lambda **to: [F.col(c).alias(new) for c, new in to.items()]
+    one = every.select("k", "p", "q", *names(rep="a", of="_a", size="m", left="x", flags="f"))
+    two = every.select("k", *names(q="p", p="q", rep="b", of="_b", size="l", left="y", flags="g"))
+    both = F.col("m") + F.col("l")
     # the first shared shingle and those behind it are all that two can have in common
-    enough = F.least("x", "y") >= (F.col("m") + F.col("l")) * (similarity / (1 + similarity)) - 1e-6
-    return materialize(one.join(two, ["k1", "p", "q"]).where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b")) & enough).select("a", "b").distinct(), "unmet")
-
-
-def _sized(keyed: DataFrame, by: list[str]) -> DataFrame:
-    """Rows whose key has more than one `of`, with the number of rows of the key."""
-    shared = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("of").alias("_a"), F.max("of").alias("_b")).where("_a < _b").drop("_a", "_b")
-    return materialize(keyed.join(materialize(shared, "buckets"), by), "candidates")
-
-
-def _meet(rows: DataFrame, by: list[str], hot: int) -> DataFrame:
-    """(a, b) of rows (rep, of, *by, n) that share a key but not `of`: all with all, or in large buckets
-    centre with member and member with the next."""
-    small = rows.where(F.col("n") <= hot)
-    one, two = small.select(*by, F.col("rep").alias("a"), F.col("of").alias("_a")), small.select(*by, F.col("rep").alias("b"), F.col("of").alias("_b"))
-    found = one.join(two, by).where("a < b and _a != _b").select("a", "b")
-    large = materialize(rows.where(F.col("n") > hot).withColumn("h", F.xxhash64("rep", *by)), "large")
-    centre = materialize(large.groupBy(*by).agg(F.min_by(F.struct("rep", "of"), "h").alias("c")).select(*by, F.col("c.rep").alias("a"), F.col("c.of").alias("_a")), "centres")
-    star = large.select(*by, F.col("rep").alias("b"), F.col("of").alias("_b")).join(centre, by).where("a != b and _a != _b").select("a", "b")
-    # the ring of a large bucket is in parts, so that no bucket is one task
-    ring = Window.partitionBy(*by, F.pmod("h", F.lit(RING))).orderBy("h")
-    ring = large.withColumn("a", F.lag("rep").over(ring)).withColumn("_a", F.lag("of").over(ring)).where("a is not null and _a != of").select("a", F.col("rep").alias("b"))
-    both = star.unionByName(ring).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return found.unionByName(both).distinct()
-
-
-#: Parts of the ring of a large bucket.
-RING = 16
-
-
-def _near(met: DataFrame, bits: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of met whose Hamming distance leaves no doubt that they are similar."""
-    half = materialize(met.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("x")), "a"), "pairs")
-    both = half.join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("y")), "b")
-    differ = [F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(WORDS)]
-    return materialize(both.where(sum(differ[1:], differ[0]) <= most_bits(similarity, SURE)).select("a", "b"), "near")
-
-
-def _apart(rows: DataFrame, found: DataFrame, ends: list[str]) -> DataFrame:
-    """rows with of_<end>, the component of each of their ends."""
-    for end in ends:
-        rows = rows.join(found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
-    return rows
-
-
-def _similar(docs: DataFrame, nodes: DataFrame, unsure: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of unsure whose sets of shingles are as similar."""
-    need = unsure.select(F.col("a").alias("rep")).union(unsure.select("b")).distinct()
-    need = nodes.join(need, "rep", "left_semi").select("rep", "text_hash")
-    ids = need.select("rep").hint("shuffle_hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi")
-    sets = texts.mapInArrow(_shingles(size), "rep long, text_hash string, shingles array<long>").join(need, ["rep", "text_hash"], "left_semi")
-    sets = materialize(sets.dropDuplicates(["rep"]), "shingles")
-    left = materialize(unsure.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a"), "unsure")
+    enough = F.least("x", "y") >= both * (similarity / (1 + similarity)) - 1e-6
+    alike = _differ("f", "g", FLAGS // 64) <= both * ((1 - similarity) / (1 + similarity)) + 1e-6
+    pairs = one.join(two, ["k", "p", "q"]).where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b")) & enough & alike).select("a", "b")
+    return materialize(pairs.distinct(), "unmet")
+
+
+def _similar(docs: DataFrame, same: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles are as similar."""
+    need = materialize(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "needed")
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    # at most SLOTS rows, whatever the input; texts without a flag aren't read further
+    needed = np.zeros(SLOTS, bool)
+    needed[need.select(slot(F.col("rep")).alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
+    texts = _plain(docs).where("doc_id is not null").withColumn("slot", slot(F.col("doc_id")))
+    sets = texts.mapInArrow(_shingles(size, needed), "rep long, text_hash string, shingles array<long>")
+    nodes = same.select("rep", "text_hash").join(need, "rep", "left_semi")
+    sets = materialize(sets.join(nodes, ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"]), "shingles")
+    left = materialize(pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a"), "pairs")
     both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
+    similar = materialize(both.where(common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b"), "similar")
+    for gone in (need, sets, left):
+        discard(gone)
+    return similar
 
 
 def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for every document with a doc_id; the component is its smallest doc_id."""
-    sketched = materialize(sketches(docs, size).where("doc_id is not null"), "sketches")
-    same = materialize(sketched.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks"), F.first("tags").alias("tags")), "texts")
-    bits = same.select("rep", "bits")
-    keyed = same.select("rep", F.explode(F.arrays_zip("blocks", "tags")).alias("b")).select("rep", F.col("rep").alias("of"), F.col("b.blocks").alias("k1"))
-    near = _near(_meet(_sized(keyed, ["k1"]), ["k1"], HOT), bits, similarity)
+    ship(docs.sparkSession)
+    sketched = materialize(_plain(docs).where("doc_id is not null").mapInArrow(_sketches(size), SKETCH), "sketches")
+    texts, common = sketched.where("slot is null"), sketched.where("slot is not null").select("slot", "n")
+    same = materialize(texts.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "texts")
+    near = _similar(docs, same, _by_blocks(same, similarity), size, similarity)
     found = connected_components(near, "a", "b")
-    unmet = _unmet(docs, same, found, size, similarity)
+    unmet = _unmet(docs, same, common, found, size, similarity)
     if not unmet.isEmpty():
         found = connected_components(near.unionByName(_similar(docs, same, unmet, size, similarity)), "a", "b")
-    label = same.join(found, same.rep == found.node, "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
-    return sketched.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
+    label = same.join(found, same["rep"] == found["node"], "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
+    return texts.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The documents, all columns, less those that are near copies of one with a smaller doc_id."""
     found = materialize(components(docs, size, similarity), "components")
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone, row = fresh(docs, "gone"), fresh(docs, "row")
+    away = found.where("component_id < doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    left = docs.join(away.hint("shuffle_hash"), docs["doc_id"] == F.col(gone), "left_anti")
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return left
     once = Window.partitionBy("doc_id").orderBy(F.length("text"), "text")
-    again = left.where("doc_id is not null").withColumn("_row", F.row_number().over(once)).where("_row = 1").drop("_row")
+    again = left.where("doc_id is not null").withColumn(row, F.row_number().over(once)).where(F.col(row) == 1).drop(row)
     return again.unionByName(left.where("doc_id is null"))

@@ -13,7 +13,7 @@ from ampliscope.llm import cover_tree, langid, mixing, near_copies, packing, qua
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use inside.
-CLASH = ["part", "end", "print", "rep", "length", "start", "rank", "copies", "epochs", "key", "bucket", "score", "terms", "y", "component_id", "node", "row", "copy", "held_out", "perplexity", "own", "segment", "salt", "_n"]
+CLASH = ["part", "end", "print", "rep", "length", "start", "rank", "copies", "epochs", "key", "bucket", "score", "terms", "y", "component_id", "node", "row", "copy", "held_out", "perplexity", "own", "segment", "salt", "_n", "_gone", "_row", "gone", "row_", "slot", "host", "path", "component", "cell", "distance", "of", "k", "n"]
 
 
 def words(rng, n, letters):
