@@ -10,8 +10,17 @@ PRIORITY = {"bwa": 0, "bbmap": 1, "minimap2": 2}
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("_n", ranked).where("_n = 1").drop("_n")
+    """The row of each key with the smallest order: an aggregate, so that a key with very many rows is reduced
+    before it is shuffled. Nulls are smallest; largest() turns a column round."""
+    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns))
+    first = F.min_by(row, F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order))))
+    return rows.groupBy(*keys).agg(first.alias("_first")).select("_first.*")
+
+
+def largest(c: Column | str) -> Column:
+    """An order by which the largest number or true comes first, and null last."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.struct(c.isNull(), -c.cast("double"))
 
 
 def aligner_priority(aligner: Column) -> Column:
@@ -20,13 +29,13 @@ def aligner_priority(aligner: Column) -> Column:
 
 def best_by_penalty(alignments: DataFrame, key: str = "read_id", then: tuple[str, ...] = ()) -> DataFrame:
     """The alignment with the smallest penalty of each read; on a tie by aligner, then by further columns."""
-    return keep_first(alignments, [key], [F.asc("penalty"), aligner_priority(F.col("aligner")), F.asc("aligner"), *then])
+    return keep_first(alignments, [key], [F.col("penalty"), aligner_priority(F.col("aligner")), F.col("aligner"), *map(F.col, then)])
 
 
 def best_by_score(alignments: DataFrame, key: str = "read_id") -> DataFrame:
     """The mapped alignment with the best score, then the fewest edits, then the first."""
     score, edits = F.coalesce("score", F.lit(0)), F.coalesce("nm", F.lit(100))
-    return keep_first(alignments, [key], [F.desc("is_mapped"), score.desc(), edits.asc(), F.asc("ordinal")])
+    return keep_first(alignments, [key], [largest("is_mapped"), largest(score), edits, F.col("ordinal")])
 
 
 def best_pair(r1: DataFrame, r2: DataFrame, key: str = "read_id") -> DataFrame:
@@ -38,23 +47,23 @@ def best_pair(r1: DataFrame, r2: DataFrame, key: str = "read_id") -> DataFrame:
 
 def position_dedup(reads: DataFrame, order: str = "read_idx", sample: list[str] | None = None) -> DataFrame:
     """The first read of each (start, end, cigar). The sequence isn't part of the key."""
-    return keep_first(reads, [*(sample or []), "start", "end", "cigar"], [F.asc(order)])
+    return keep_first(reads, [*(sample or []), "start", "end", "cigar"], [F.col(order)])
 
 
 def pair_dedup(pairs: DataFrame, order: str = "read_idx") -> DataFrame:
     """The first pair of each key of both mates' positions; pairs with an unaligned mate stay."""
     key = ["r1_start", "r1_end", "r2_start", "r2_end", "r1_cigar", "r2_cigar"]
     aligned = F.col("r1_start").isNotNull() & F.col("r2_start").isNotNull()
-    return keep_first(pairs.where(aligned), key, [F.asc(order)]).unionByName(pairs.where(~aligned))
+    return keep_first(pairs.where(aligned), key, [F.col(order)]).unionByName(pairs.where(~aligned))
 
 
 def umi_dedup(reads: DataFrame, umi: str = "umi", quality: str = "mean_quality", order: str = "read_idx") -> DataFrame:
     """The read of best mean quality for each UMI, the first on a tie."""
-    return keep_first(reads, [umi], [F.desc(quality), F.asc(order)])
+    return keep_first(reads, [umi], [largest(quality), F.col(order)])
 
 
 def best_of_pair(rows: DataFrame, fraction: str, key: str = "read_name", order: str = "read_idx") -> DataFrame:
-    return keep_first(rows, [key], [F.desc(fraction), F.asc(order)])
+    return keep_first(rows, [key], [largest(fraction), F.col(order)])
 
 
 def fragment_key(start: Column, mate_start: Column, template: Column, end: Column, cigar: Column, paired: Column) -> Column:

@@ -6,6 +6,9 @@ Standard deviations of single values have three dialects in use: 0 (condition_st
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,24 +82,44 @@ def condition_summary(rows: DataFrame, condition: str, metrics: list[str]) -> Da
     return rows.where(F.col(condition).isNotNull()).groupBy(condition).agg(*out)
 
 
+#: Ranges of p-values that a family is ranked by.
+RANGES = 4096
+
+
 def benjamini_hochberg(rows: DataFrame, p: str, keys: list[str] | None = None, total: Column | None = None) -> DataFrame:
     """rows with `p_adjusted`: p times the number of tests over its rank, made monotone from the largest down and
-    capped at 1; null stays null. The tests of one family are a handful of conditions."""
-    known = F.col(p).isNotNull() & ~F.isnan(p)
-    family = Window.partitionBy(*(keys or [F.lit(1)]), known)
-    m = total if total is not None else F.count("*").over(family)
-    rank = F.row_number().over(family.orderBy(p))
-    raw = rows.withColumn("_raw", F.when(known, F.col(p) * m / rank)).withColumn("_known", known)
-    down = Window.partitionBy(*(keys or [F.lit(1)]), "_known").orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
-    return raw.withColumn("p_adjusted", F.when(F.col("_known"), F.least(F.min("_raw").over(down), F.lit(1.0)))).drop("_raw", "_known")
+    capped at 1; null stays null. Distinct p-values are ranked within ranges of them, and the ranges (4,097 to a
+    family at most) by their counts, so that a family of any size is many tasks."""
+    keys, known = keys or [], F.col(p).isNotNull() & ~F.isnan(p)
+    each = rows.where(known).groupBy(*keys, F.col(p).alias("_p")).agg(F.count("*").alias("_n"), *([] if total is None else [F.max(total).alias("_m")]))
+    each = each.withColumn("_range", F.floor(F.least(F.greatest("_p", F.lit(0.0)), F.lit(1.0)) * RANGES))
+    family = Window.partitionBy(*keys)
+    sums = each.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
+    sums = sums.withColumn("_before", F.sum("_in").over(family.orderBy("_range")) - F.col("_in")).withColumn("_all", F.sum("_in").over(family))
+    inside = Window.partitionBy(*keys, "_range")
+    ranked = _same_keys(each, sums, [*keys, "_range"]).withColumn("_rank", F.col("_before") + F.sum("_n").over(inside.orderBy("_p")))
+    raw = ranked.withColumn("_raw", F.col("_p") * (F.col("_all") if total is None else F.col("_m")) / F.col("_rank"))
+    least = raw.groupBy(*keys, "_range").agg(F.min("_raw").alias("_own"))
+    above = least.withColumn("_above", F.min("_own").over(family.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1))).drop("_own")
+    own = F.min("_raw").over(inside.orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, 0))
+    found = _same_keys(raw.withColumn("_least", own), above, [*keys, "_range"])
+    found = found.select(*keys, F.col("_p").alias("_known"), F.least("_least", F.coalesce("_above", F.lit(1.0)), F.lit(1.0)).alias("p_adjusted"))
+    return _same_keys(rows.withColumn("_known", F.when(known, F.col(p))), found, [*keys, "_known"]).drop("_known")
+
+
+def _same_keys(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """A left join in which null keys are equal."""
+    own = right.select(*(F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in right.columns))
+    same = [left[c].eqNullSafe(own[f"_on_{c}"]) for c in on]
+    return left.join(own, reduce(and_, same), "left").drop(*(f"_on_{c}" for c in on))
 
 
 def compare(statistics: DataFrame, condition: str, base: str | None = None, least: int = 2, fdr: bool = True, p_values: bool = True) -> DataFrame:
     """Every condition against a base (the first by name): difference, fold change, Welch's t, p, stars."""
     enough = statistics.where(F.col("n") >= least)
-    name = F.lit(base) if base is not None else F.min(F.col(condition)).over(Window.partitionBy(F.lit(1)))
-    named = enough.withColumn("_base", name)
-    of = named.where(F.col(condition) == F.col("_base")).select(F.col(condition).alias("base_condition"), F.col("mean").alias("base_mean"), F.col("std").alias("base_std"), F.col("n").alias("base_n"))
+    first = enough.agg(F.min(condition).alias("_base")) if base is None else enough.agg(F.first(F.lit(base)).alias("_base"))
+    named = enough.join(F.broadcast(first), F.col(condition) == F.col("_base"))  # one row
+    of = named.select(F.col(condition).alias("base_condition"), F.col("mean").alias("base_mean"), F.col("std").alias("base_std"), F.col("n").alias("base_n"))
     rows = enough.crossJoin(of).where(F.col(condition) != F.col("base_condition"))  # one row on the right
     t, df = welch_t(F.col("mean"), F.col("std"), F.col("n"), F.col("base_mean"), F.col("base_std"), F.col("base_n"))
     rows = rows.withColumn("difference", F.col("mean") - F.col("base_mean")).withColumn("fold_change", F.when(F.col("base_mean") > 0, F.col("mean") / F.col("base_mean"))).withColumn("t", t).withColumn("df", df)
@@ -118,3 +141,20 @@ def correlation(rows: DataFrame, x: str, y: str, keys: list[str] | None = None)
     both = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     out = both.groupBy(*(keys or [])).agg(F.corr(x, y).alias("r"), F.count("*").alias("n"))
     return out.withColumn("t", F.when(F.col("n") > 2, F.try_divide(F.col("r") * F.sqrt(F.col("n") - 2.0), F.sqrt(1 - F.col("r") * F.col("r")))))
+
+
+def correlation_test(rows: DataFrame, x: str, y: str, keys: list[str] | None = None) -> DataFrame:
+    """correlation() with the two-sided p of r."""
+    ship(rows.sparkSession)
+    return correlation(rows, x, y, keys).withColumn("p_value", t_p_value("t", F.when(F.col("n") > 2, F.col("n") - 2.0)))
+
+
+def one_sample_t(rows: DataFrame, keys: list[str], metric: str, expected: float = 0.0, p_values: bool = True) -> DataFrame:
+    """Student's t of each group's mean against an expected one, with n - 1 degrees of freedom; null under two values."""
+    x = _known(metric)
+    out = rows.groupBy(*keys).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
+    out = out.withColumn("df", F.when(F.col("n") > 1, F.col("n") - 1.0)).withColumn("t", F.when(F.col("n") > 1, F.try_divide(F.col("mean") - expected, F.col("std") / F.sqrt("n"))))
+    if not p_values:
+        return out
+    ship(rows.sparkSession)
+    return out.withColumn("p_value", t_p_value("t", "df"))

@@ -5,6 +5,8 @@ reads -> distinct per sample -> distinct over all -> aligned once -> classified
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,22 @@ from ampliscope.sources import text
 from ampliscope.sources.config import Locus
 
 
+#: A local file's scheme is written with one slash or three.
+LOCAL = "^file:/+"
+
+
+def whole_path(spark: SparkSession, path: str) -> str:
+    """A path as Spark names a file, with its folder, so that equal names in two folders stay apart."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return re.sub(LOCAL, "/", where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri().toString())
+
+
 def read_samples(spark: SparkSession, samples: DataFrame, most: int | None = None) -> DataFrame:
     """(sample_id, sequence, count): the distinct first reads of every sample, all files in one scan."""
-    paths = {r["r1_path"]: r["sample_id"] for r in samples.select("r1_path", "sample_id").collect()}  # a row per file
-    reads = text.fastq(spark, list(paths), most)
-    own = spark.createDataFrame([(p.rpartition("/")[2], s) for p, s in paths.items()], "name string, sample_id string")
-    named = reads.withColumn("name", F.regexp_extract("file", r"([^/]+)$", 1)).join(F.broadcast(own), "name")
+    rows = samples.select("r1_path", "sample_id").distinct().collect()  # a row per file and sample
+    reads = text.fastq(spark, sorted({r["r1_path"] for r in rows}), most)
+    own = spark.createDataFrame([(whole_path(spark, r["r1_path"]), r["sample_id"]) for r in rows], "file string, sample_id string")
+    named = reads.withColumn("file", F.regexp_replace("file", LOCAL, "/")).join(own, "file")
     return collapse.collapse(named.where("valid").select("sample_id", F.upper("seq").alias("sequence"), "count"), ["sample_id", "sequence"], F.col("count"))
 
 

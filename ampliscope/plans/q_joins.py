@@ -17,10 +17,11 @@ def manifest_inner(spark, sf_dir):
     return joins.manifest(samples, plates, "raw", locus="L1").select("sample_id", "r1_path", "expected_barcode", "gDNA_plate_num")
 
 
-@query("SELECT coalesce(a.k, b.k) AS sample_id, a.own, b.other FROM (SELECT o_custkey AS k, count(*) AS own FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a FULL JOIN (SELECT c_custkey AS k, round(c_acctbal, 2) AS other FROM customer WHERE c_nationkey < 12) b ON a.k = b.k")
+@query("SELECT coalesce(a.k, b.k) AS sample_id, a.own, b.other FROM (SELECT l_partkey AS k, count(*) AS own FROM lineitem GROUP BY 1) a FULL JOIN (SELECT c_custkey * 2 AS k, round(c_acctbal, 2) AS other FROM customer) b ON a.k = b.k")
 def method_full_outer(spark, sf_dir):
-    own = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("sample_id")).agg(F.count("*").alias("own"))
-    other = table(spark, sf_dir, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("sample_id"), F.round("c_acctbal", 2).alias("other"))
+    """Whole tables of which each has keys that the other lacks: parts that were sold, and customers under even numbers."""
+    own = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("sample_id")).agg(F.count("*").alias("own"))
+    other = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("sample_id"), F.round("c_acctbal", 2).alias("other"))
     return joins.method_outer(own, other)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ampliscope.plans import base, q_classify, q_collapse, q_dna, q_joins, q_pool  # noqa: F401
+from ampliscope.plans import base, q_classify, q_collapse, q_dna, q_joins, q_more, q_pool  # noqa: F401
 
 
 def queries() -> dict:

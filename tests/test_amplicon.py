@@ -82,3 +82,12 @@ def test_templates_and_mates(spark):
     got = {r.seq_hash: r for r in joins.flatten_mates(df).collect()}
     assert (got["h"].r1_cigar, got["h"].r2_cigar, got["h"].is_proper_pair, got["h"].r2_is_reverse) == ("10M", "9M", True, True)
     assert not got["g"].r1_is_mapped and not got["g"].r2_is_mapped
+
+
+def test_files_of_one_name_stay_apart(spark, tmp_path):
+    for folder, seq in (("a", "ACGT"), ("b", "TTTT")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "r1.fastq").write_text(f"@x\n{seq}\n+\nIIII\n" * 2)
+    rows = [("A", str(tmp_path / "a" / "r1.fastq")), ("B", str(tmp_path / "b" / "r1.fastq")), ("C", str(tmp_path / "b" / "r1.fastq"))]
+    found = amplicon.read_samples(spark, spark.createDataFrame(rows, "sample_id string, r1_path string"))
+    assert sorted((r.sample_id, r.sequence, r["count"]) for r in found.collect()) == [("A", "ACGT", 2), ("B", "TTTT", 2), ("C", "TTTT", 2)]

@@ -168,3 +168,32 @@ def test_detection(spark):
     turned = ref[10:50][::-1].translate(str.maketrans("ACGT", "TGCA"))
     reads = spark.createDataFrame([(0, ref[5:40]), (1, "NNN" + ref[20:45]), (2, turned), (3, "GGGG")], "read_idx long, seq string")
     assert dict(detect.start_positions(reads, ref).select("read_idx", "start").collect()) == {0: 5, 1: 17, 2: 10}
+
+
+def test_one_sample_t_and_correlation_p(spark):
+    from ampliscope.operators import pool
+
+    rows = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.1), ("a", 3.0, 5.9), ("a", 4.0, 8.3), ("b", 5.0, 1.0)], "k string, x double, y double")
+    got = {r.k: r for r in pool.one_sample_t(rows, ["k"], "x", 1.0).collect()}
+    assert abs(got["a"].t - 1.5 / (1.2909944487358056 / 2)) < 1e-12 and abs(got["a"].p_value - 0.1027) < 1e-3 and got["b"].t is None
+    r = pool.correlation_test(rows.where("k = 'a'"), "x", "y").first()
+    assert r.r > 0.99 and 0 < r.p_value < 0.01
+
+
+def test_ranks_of_ties_and_families(spark):
+    import numpy as np
+
+    from ampliscope.operators import pool
+
+    rng = np.random.default_rng(1)
+    p = np.round(rng.random(400), 2)
+    rows = [(int(i % 3) if i % 7 else None, float(x) if i % 11 else None) for i, x in enumerate(p)]
+    got = pool.benjamini_hochberg(spark.createDataFrame(rows, "k int, p double"), "p", ["k"]).collect()
+    assert len(got) == 400
+    for k in (0, 1, 2, None):
+        own = np.sort([x for a, x in rows if a == k and x is not None])
+        raw = own * len(own) / np.arange(1, len(own) + 1)
+        want = dict(zip(own, np.minimum(np.minimum.accumulate(raw[::-1])[::-1], 1)))
+        for x in want:
+            want[x] = min(v for y, v in zip(own, np.minimum(np.minimum.accumulate(raw[::-1])[::-1], 1)) if y == x)
+        assert all((r.p is None) == (r.p_adjusted is None) and (r.p is None or abs(r.p_adjusted - want[r.p]) < 1e-12) for r in got if r.k == k)
