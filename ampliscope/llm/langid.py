@@ -8,7 +8,7 @@ weighted by their bytes. For speed, embedding and filter are folded into one tab
 for each pair of bytes.
 
 The network is fitted on a bounded sample: `SAMPLE` documents of the training fold,
-those with the smallest hash of doc_id, with `EACH` windows of each.
+those with the smallest hash of doc_id, with all windows of their whole texts.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0, as is
 every text if nothing could be learned. Repeated rows keep a row each. Null langs
@@ -31,8 +31,8 @@ from ampliscope.llm.common import held_out, ship, slices, utf8
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS, DEPTH = 16, 8
-SAMPLE, EACH = 4000, 4
-EPOCHS, BATCH, RATE = 5, 64, 0.01
+SAMPLE = 2000
+EPOCHS, BATCH, RATE = 3, 64, 0.01
 SEED = 7
 UNKNOWN = "und"
 #: Windows that a numpy pass takes at a time.
@@ -149,17 +149,13 @@ def fit(docs: DataFrame, label: str = "lang", sample: int = SAMPLE) -> Network |
     """The network of the training fold's labelled texts, or None where there are none."""
     labelled = docs.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     chosen = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    text, length = F.col("text"), F.char_length("text")
-    at = [F.floor((length - WINDOW) * (i / max(1, EACH - 1))).cast("int") for i in range(EACH)]
-    parts = F.when(length > 2 * WINDOW, F.array(*(F.substring(text, a + 1, F.lit(WINDOW)) for a in at))).otherwise(F.array(F.substring(text, 1, 2 * WINDOW)))
-    rows = labelled.join(F.broadcast(chosen), "doc_id").where("length(text) > 0").select("doc_id", label, parts.alias("parts")).orderBy("doc_id").limit(sample).toArrow()
+    rows = labelled.join(F.broadcast(chosen), "doc_id").where("length(text) > 0").select("doc_id", label, "text").orderBy("doc_id").limit(sample).toArrow()
     labels, windows = [], []
-    for lang, own in zip(rows.column(label).to_pylist(), rows.column("parts").to_pylist()):
-        for part in own:
-            data = np.frombuffer(part.encode(), dtype=np.uint8)
-            w, _, _ = cut(data, np.array([0]), np.array([len(data)]))
-            windows.append(w[:1])
-            labels.append(lang)
+    for lang, text in zip(rows.column(label).to_pylist(), rows.column("text")):
+        data = np.frombuffer(text.as_py().encode(), dtype=np.uint8)
+        own, _, _ = cut(data, np.array([0]), np.array([len(data)]))
+        windows.append(own)
+        labels += [lang] * len(own)
     return train(np.concatenate(windows), labels) if labels else None
 
 

@@ -7,8 +7,9 @@ can't use goes back to the level above, as a node's share never exceeds what its
 leaves can use. A leaf takes whole epochs and then, of one more epoch in the order
 of a seeded hash, the longest prefix that fits.
 
-A third of all rows may be one leaf: its prefix is found from sums by hash bucket,
-and only rows of the bucket in which the prefix ends are put in order.
+A third of all rows may be one leaf: its prefix is found from sums by hash bucket, then
+by parts of the bucket in which it ends, and only rows of the part in which it ends are
+put in order: a leaf of 10^10 rows is about 600 rows there.
 
 Defined cases: a null lang or source is its own child, `und` and `unknown`; a null
 text has no tokens. Documents without tokens go wherever their place in the order
@@ -19,6 +20,9 @@ table. Other columns are not read.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +39,8 @@ LANG_WEIGHTS = {"en": 400, "de": 200, "fr": 200, "es": 200}
 #: Weight of a domain, language or source that isn't named.
 OTHER = 100
 SOURCE_WEIGHTS = {"src0": 200}
-#: Leading hex digits of the order key that a bucket shares.
-BUCKET_DIGITS = 3
+#: Leading hex digits of the order key that a bucket shares, and a part of one.
+DIGITS = (3, 6)
 #: Leaves up to this many are broadcast; more are joined by shuffle.
 MOST_BROADCAST = 20_000
 
@@ -44,9 +48,25 @@ WORD = r"[^ \t\n\x0B\f\r]+"
 LEAF = ["domain", "lang", "source"]
 
 
-def _weight(column: str, weights: dict[str, int]) -> Column:
+@dataclass(frozen=True)
+class Tree:
+    """Target weights at each level, and the domain of a source by its last digit; what isn't named weighs `other`."""
+
+    domain_of_digit: dict[str, str] = field(default_factory=lambda: DOMAIN_OF_DIGIT)
+    domains: dict[str, int] = field(default_factory=lambda: DOMAIN_WEIGHTS)
+    langs: dict[str, int] = field(default_factory=lambda: LANG_WEIGHTS)
+    sources: dict[str, int] = field(default_factory=lambda: SOURCE_WEIGHTS)
+    other: int = OTHER
+
+
+TREE = Tree()
+
+
+def _weight(column: str, weights: dict[str, int], other: int) -> Column:
+    if not weights:
+        return F.lit(float(other))
     table = F.create_map(*(F.lit(x) for kv in weights.items() for x in kv))
-    return F.coalesce(F.element_at(table, F.col(column)), F.lit(OTHER)).cast("double")
+    return F.coalesce(F.element_at(table, F.col(column)), F.lit(other)).cast("double")
 
 
 def _fill(nodes: DataFrame, parent: list[str], child: str, budget: str, weight: Column) -> DataFrame:
@@ -60,43 +80,47 @@ def _fill(nodes: DataFrame, parent: list[str], child: str, budget: str, weight:
     return level.withColumn("share", F.least(F.col("cap"), F.col("level") * F.col("w"))).drop("w", "ratio", "level")
 
 
-def budgets(leaves: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+def budgets(leaves: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, tree: Tree = TREE) -> DataFrame:
     """leaves (domain, lang, source, tokens) with whole epochs and the tokens of the last, partial one."""
-    everything = Window.partitionBy(F.lit(1))
-    capped = leaves.withColumn("cap", (F.col("tokens") * max_epochs).cast("double")).withColumn("budget", F.floor(F.sum("tokens").over(everything) * F.lit(part)).cast("double"))
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0  # one number
+    capped = leaves.withColumn("cap", (F.col("tokens") * max_epochs).cast("double")).withColumn("budget", F.lit(float(math.floor(float(total) * part))))
     domains = capped.groupBy("domain").agg(F.sum("cap").alias("cap"), F.max("budget").alias("budget")).withColumn("top", F.lit(1))
-    domains = _fill(domains, ["top"], "domain", "budget", _weight("domain", DOMAIN_WEIGHTS)).select("domain", F.col("share").alias("of_domain"))
+    domains = _fill(domains, ["top"], "domain", "budget", _weight("domain", tree.domains, tree.other)).select("domain", F.col("share").alias("of_domain"))
     langs = capped.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).join(domains, "domain")
-    langs = _fill(langs, ["domain"], "lang", "of_domain", _weight("lang", LANG_WEIGHTS)).select("domain", "lang", F.col("share").alias("of_lang"))
-    final = _fill(capped.join(langs, ["domain", "lang"]), ["domain", "lang"], "source", "of_lang", _weight("source", SOURCE_WEIGHTS))
+    langs = _fill(langs, ["domain"], "lang", "of_domain", _weight("lang", tree.langs, tree.other)).select("domain", "lang", F.col("share").alias("of_lang"))
+    final = _fill(capped.join(langs, ["domain", "lang"]), ["domain", "lang"], "source", "of_lang", _weight("source", tree.sources, tree.other))
     whole = F.floor(F.col("share"))
     return final.select(*LEAF, "tokens", whole.alias("target")).withColumn("epochs", F.expr("CASE WHEN tokens > 0 THEN target div tokens ELSE 0 END")).withColumn("part", F.col("target") - F.col("epochs") * F.col("tokens"))
 
 
-def _leaf() -> list[Column]:
-    digit = F.element_at(F.create_map(*(F.lit(x) for kv in DOMAIN_OF_DIGIT.items() for x in kv)), F.right(F.col("source"), F.lit(1)))
+def _leaf(tree: Tree) -> list[Column]:
+    digit = F.element_at(F.create_map(*(F.lit(x) for kv in tree.domain_of_digit.items() for x in kv)), F.right(F.col("source"), F.lit(1))) if tree.domain_of_digit else F.lit(None)
     words = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
     return [F.coalesce(digit, F.lit("other")).alias("domain"), F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source"), words.alias("n_tokens")]
 
 
-def sized(docs: DataFrame) -> DataFrame:
+def sized(docs: DataFrame, tree: Tree = TREE) -> DataFrame:
     """doc_id, leaf and tokens (words) of every document."""
-    return docs.select("doc_id", *_leaf())
+    return docs.select("doc_id", *_leaf(tree))
 
 
-def _copies(rows: DataFrame, sizes: DataFrame, part: float, max_epochs: int, seed: int) -> DataFrame:
+def _copies(rows: DataFrame, sizes: DataFrame, part: float, max_epochs: int, seed: int, tree: Tree) -> DataFrame:
     """rows (with doc_id, leaf and n_tokens) that the mixture holds, with `copies`; sizes: the same of a small table."""
     leaves = materialize(sizes.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")), "leaves")
-    plan = materialize(budgets(leaves, part, max_epochs).select(*LEAF, "epochs", "part"), "budgets")
+    plan = materialize(budgets(leaves, part, max_epochs, tree).select(*LEAF, "epochs", "part"), "budgets")
     few = F.broadcast if plan.count() <= MOST_BROADCAST else lambda x: x
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keyed = lambda t: t.join(few(plan), LEAF).withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    sums = keyed(sizes).groupBy(*LEAF, "bucket").agg(F.sum("n_tokens").alias("n"), F.first("part").alias("part"))
-    upto = F.sum("n").over(Window.partitionBy(*LEAF).orderBy("bucket"))
-    # the bucket in which a leaf's prefix ends, and the tokens before it
-    cut = sums.withColumn("upto", upto).where("upto > part").groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("cut"))
-    cut = materialize(cut.select(*LEAF, "cut.before", F.col("cut.bucket").alias("cut")), "cuts")
-    placed = keyed(rows).join(few(cut), LEAF, "left")
+    keyed = lambda t: t.join(few(plan), LEAF).withColumn("key", key)
+    inside, cut, depth = keyed(sizes).withColumn("before", F.lit(0).cast("long")), None, 0
+    for digits in DIGITS:
+        sums = inside.groupBy(*LEAF, F.substring("key", 1, digits).alias("bucket")).agg(F.sum("n_tokens").alias("n"), F.first("part").alias("part"), F.first("before").alias("before"))
+        upto = F.col("before") + F.sum("n").over(Window.partitionBy(*LEAF).orderBy("bucket"))  # 4,096 rows of a leaf at most
+        # the bucket in which a leaf's prefix ends, and the tokens before it
+        cut = sums.withColumn("upto", upto).where("upto > part").groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("cut"))
+        cut = materialize(cut.select(*LEAF, "cut.before", F.col("cut.bucket").alias("cut")), "cuts")
+        inside = keyed(sizes).join(few(cut), LEAF).where(F.substring("key", 1, digits) == F.col("cut"))
+        depth = digits
+    placed = keyed(rows).join(few(cut), LEAF, "left").withColumn("bucket", F.substring("key", 1, depth))
     run = F.sum("n_tokens").over(Window.partitionBy(*LEAF).orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0))
     ends = placed.where("bucket = cut").withColumn("more", F.col("before") + run <= F.col("part"))
     others = placed.where("cut is null or bucket != cut").withColumn("more", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(True)))
@@ -104,17 +128,17 @@ def _copies(rows: DataFrame, sizes: DataFrame, part: float, max_epochs: int, see
     return out.where("copies > 0").select(*rows.columns, "copies")
 
 
-def mix(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED, tree: Tree = TREE) -> DataFrame:
     """How many copies of every document the mixture holds, for those that it holds."""
-    rows = materialize(sized(docs), "sized")
-    return _copies(rows, rows, part, max_epochs, seed).select("doc_id", *LEAF, "n_tokens", "copies")
+    rows = materialize(sized(docs, tree), "sized")
+    return _copies(rows, rows, part, max_epochs, seed, tree).select("doc_id", *LEAF, "n_tokens", "copies")
 
 
-def mixture(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+def mixture(docs: DataFrame, part: float = BUDGET, max_epochs: int = MAX_EPOCHS, seed: int = SEED, tree: Tree = TREE) -> DataFrame:
     """The documents of the mixture, each row as often as it holds it. The texts aren't shuffled but for the
     buckets in which prefixes end."""
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", *_leaf())
-    held = _copies(whole, materialize(sized(docs), "sized"), part, max_epochs, seed)
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", *_leaf(tree))
+    held = _copies(whole, materialize(sized(docs, tree), "sized"), part, max_epochs, seed, tree)
     return held.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 

@@ -7,7 +7,8 @@ components). A component with an explicitly allowed url is allowed, else one wit
 blocked url is blocked, else the page is allowed.
 
 A node is host and path, so scheme, query and fragment variants of a url are one
-node. Links in comments and scripts don't count.
+node. Links in comments and scripts don't count. A relative target is resolved against the
+page's url, or an absolute `<base>` where there is one, dot segments and all.
 
 Defined cases: a null url or one without `://` has an empty host and path, no
 aliases, and is allowed. Null or empty html has no links. Repeated pages keep a row
@@ -34,9 +35,10 @@ HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
 NOT_SHOWN = r"(?is)<!--.*?-->|<script\b.*?</script>"
 LINK_TAGS = r"(?is)<(?:link|meta)\b[^>]*>"
-CANONICAL = r"(?is)\brel\s*=\s*[\"']?[^\"'>]*\bcanonical\b"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
+CANONICAL = r"(?is)[\s\"'/]rel\s*=\s*[\"']?[^\"'>]*\bcanonical\b"
+HREF = r"(?is)[\s\"'/]href\s*=\s*[\"']?([^\"'\s>]+)"
+REFRESH = r"(?is)[\s\"'/]http-equiv\s*=\s*[\"']?refresh\b"
+BASE = r"(?is)<base\b[^>]*?[\s\"'/]href\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
 
 
@@ -60,6 +62,15 @@ def _rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     return F.array_max(F.transform(fits, lambda r: F.struct(r["n"], r["allow"], r["rule"])))
 
 
+def _undotted(url: Column) -> Column:
+    """x://host/path without the dot segments of its path; query and fragment stay."""
+    path = F.regexp_replace(F.regexp_extract(url, PATH, 1), r"/\.\.?$", "$0/")
+    step = lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(s)))
+    parts = F.split(path, "/")
+    flat = F.array_join(F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.slice(parts, F.lit(1), F.lit(1)), step), "/")
+    return F.when(path.rlike(r"/\.\.?/"), F.concat(F.regexp_extract(url, r"(?s)^[^/]*//[^/?#]*", 0), flat, F.regexp_extract(url, r"(?s)[?#].*$", 0))).otherwise(url)
+
+
 def _target(host: Column, path: Column, href: Column) -> Column:
     """An absolute url for a link's target; null for one without a place."""
     base = F.concat(F.lit("x://"), host)
@@ -67,21 +78,25 @@ def _target(host: Column, path: Column, href: Column) -> Column:
         F.when(F.length(href) == 0, None)
         .when(href.contains("://"), href)
         .when(href.startswith("//"), F.concat(F.lit("x:"), href))
-        .when(href.startswith("/"), F.concat(base, href))
+        .when(href.startswith("/"), _undotted(F.concat(base, href)))
         .when(href.startswith("#") | href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
-        .otherwise(F.concat(base, F.regexp_replace(path, r"[^/]*$", ""), href))
+        .otherwise(_undotted(F.concat(base, F.when(path.contains("/"), F.regexp_replace(path, r"[^/]*$", "")).otherwise("/"), href)))
     )
 
 
 def links(pages: DataFrame) -> DataFrame:
     """(host, path, to_host, to_path): canonical links and meta redirects in the pages' html."""
-    tags = F.regexp_extract_all(F.regexp_replace("html", NOT_SHOWN, ""), F.lit(LINK_TAGS), F.lit(0))
+    shown = F.regexp_replace("html", NOT_SHOWN, "")
+    tags = F.regexp_extract_all(shown, F.lit(LINK_TAGS), F.lit(0))
+    base = F.regexp_extract(shown, BASE, 1)
+    (host, path), (base_host, base_path) = host_and_path(F.col("url")), host_and_path(base)
+    absolute = F.coalesce(base.contains("://"), F.lit(False))
+    from_host, from_path = F.when(absolute, base_host).otherwise(host), F.when(absolute, base_path).otherwise(path)
     tags = F.filter(tags, lambda t: t.rlike(CANONICAL) | t.rlike(REFRESH))
-    host, path = host_and_path(F.col("url"))
     tag = F.col("tag")
     href = F.when(tag.rlike(CANONICAL), F.regexp_extract(tag, HREF, 1)).otherwise(F.regexp_extract(tag, REFRESH_URL, 1))
     to = F.col("target")
-    found = pages.where(F.col("url").contains("://")).select(host.alias("host"), path.alias("path"), F.explode(tags).alias("tag")).select("host", "path", _target(F.col("host"), F.col("path"), href).alias("target")).where(to.isNotNull())
+    found = pages.where(F.col("url").contains("://")).select(host.alias("host"), path.alias("path"), from_host.alias("from_host"), from_path.alias("from_path"), F.explode(tags).alias("tag")).select("host", "path", _target(F.col("from_host"), F.col("from_path"), href).alias("target")).where(to.isNotNull())
     to_host, to_path = host_and_path(to)
     return found.select("host", "path", to_host.alias("to_host"), to_path.alias("to_path")).where("to_host != ''")
 
@@ -116,15 +131,21 @@ def _parse(url: str) -> str:
 def _sql() -> str:
     rules = ", ".join(f"({len(r)}, {v == 'allow'}, '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
     fits = "(n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.path)"
-    quoted = {k: v.replace("'", "''").replace("(?is)", "") for k, v in {"not_shown": NOT_SHOWN, "tags": LINK_TAGS, "canonical": CANONICAL, "href": HREF, "refresh": REFRESH, "refresh_url": REFRESH_URL}.items()}
+    quoted = {k: v.replace("'", "''").replace("(?is)", "") for k, v in {"not_shown": NOT_SHOWN, "tags": LINK_TAGS, "canonical": CANONICAL, "href": HREF, "refresh": REFRESH, "refresh_url": REFRESH_URL, "base": BASE}.items()}
     return f"""
 WITH RECURSIVE rules(n, allow, rule, host, path) AS (VALUES {rules}),
 own AS (SELECT page_id, {_parse("url")}, html FROM pages),
-tags AS (SELECT host, path, unnest(regexp_extract_all(regexp_replace(html, '{quoted["not_shown"]}', '', 'gis'), '{quoted["tags"]}', 0, 'is')) AS tag FROM own WHERE host != '' OR path != ''),
-hrefs AS (SELECT host, path, CASE WHEN regexp_matches(tag, '{quoted["canonical"]}', 'is') THEN regexp_extract(tag, '{quoted["href"]}', 1, 'is') WHEN regexp_matches(tag, '{quoted["refresh"]}', 'is') THEN regexp_extract(tag, '{quoted["refresh_url"]}', 1, 'is') ELSE '' END AS href FROM tags),
-targets AS (SELECT host, path, CASE WHEN href = '' THEN NULL WHEN contains(href, '://') THEN href WHEN starts_with(href, '//') THEN 'x:' || href WHEN starts_with(href, '/') THEN 'x://' || host || href
-  WHEN starts_with(href, '#') OR regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL ELSE 'x://' || host || regexp_replace(path, '[^/]*$', '') || href END AS target FROM hrefs),
-linked AS (SELECT host, path, target FROM targets WHERE target IS NOT NULL),
+shown AS (SELECT host, path, regexp_replace(html, '{quoted["not_shown"]}', '', 'gis') AS html FROM own WHERE host != '' OR path != ''),
+based AS (SELECT s.host, s.path, html, CASE WHEN contains(base, '://') THEN b.host ELSE s.host END AS from_host, CASE WHEN contains(base, '://') THEN b.path ELSE s.path END AS from_path
+  FROM (SELECT *, regexp_extract(html, '{quoted["base"]}', 1, 'is') AS base FROM shown) s, LATERAL (SELECT {_parse("s.base")}) b),
+tags AS (SELECT host, path, from_host, from_path, unnest(regexp_extract_all(html, '{quoted["tags"]}', 0, 'is')) AS tag FROM based),
+hrefs AS (SELECT host, path, from_host, from_path, CASE WHEN regexp_matches(tag, '{quoted["canonical"]}', 'is') THEN regexp_extract(tag, '{quoted["href"]}', 1, 'is') WHEN regexp_matches(tag, '{quoted["refresh"]}', 'is') THEN regexp_extract(tag, '{quoted["refresh_url"]}', 1, 'is') ELSE '' END AS href FROM tags),
+targets AS (SELECT host, path, CASE WHEN href = '' THEN NULL WHEN contains(href, '://') THEN href WHEN starts_with(href, '//') THEN 'x:' || href WHEN starts_with(href, '/') THEN 'x://' || from_host || href
+  WHEN starts_with(href, '#') OR regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL ELSE 'x://' || from_host || CASE WHEN contains(from_path, '/') THEN regexp_replace(from_path, '[^/]*$', '') ELSE '/' END || href END AS target,
+  contains(href, '://') OR starts_with(href, '//') AS whole FROM hrefs),
+split AS (SELECT *, regexp_replace(regexp_extract(target, '{PATH}', 1), '/(\\.\\.?)$', '/\\1/') AS p FROM targets WHERE target IS NOT NULL),
+linked AS (SELECT host, path, CASE WHEN whole OR NOT regexp_matches(p, '/\\.\\.?/') THEN target ELSE regexp_extract(target, '^[^/]*//[^/?#]*', 0) || array_to_string(list_reduce(list_transform(string_split(p, '/'), lambda x: [x]),
+  lambda acc, x: CASE WHEN x[1] = '.' THEN acc WHEN x[1] = '..' THEN acc[1:greatest(len(acc) - 1, 1)] ELSE list_concat(acc, x) END), '/') || regexp_extract(target, '(?s)[?#].*$', 0) END AS target FROM split),
 ends AS (SELECT a.host || chr(10) || a.path AS a, t.host || chr(10) || t.path AS b FROM linked a, LATERAL (SELECT {_parse("a.target")}) t WHERE t.host != ''),
 both_ways AS (SELECT a, b FROM ends UNION SELECT b, a FROM ends UNION SELECT a, a FROM ends UNION SELECT b, b FROM ends),
 reach(node, other) AS (SELECT a, b FROM both_ways UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON r.other = e.a),

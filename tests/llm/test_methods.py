@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ampliscope.llm import cover_tree, langid, packing, quality, quartile_digest, simhash, token_coder, tokens, toxicity, url_filter
+from ampliscope.llm import cover_tree, langid, mixing, packing, quality, quartile_digest, simhash, token_coder, tokens, toxicity, url_filter
 from ampliscope.llm.components import connected_components
 from ampliscope.llm.near_copies import most_bits
 
@@ -397,3 +397,121 @@ def test_far_cells_are_left_out():
     frame = cover_tree.pd.DataFrame({"query_row": [1], "vec_id": [1], "v": [np.array([100, 0])], "floor": [9000]})
     assert [list(x["cell"]) for x in cover_tree._others(cells)(iter([frame]))] == [[]]
     assert [list(x["cell"]) for x in cover_tree._others(cells)(iter([frame.assign(floor=-20_000)]))] == [[1, 2]]
+
+
+def test_network_against_a_plain_convolution():
+    rng = np.random.default_rng(5)
+    windows = rng.integers(0, 256, (20, langid.WINDOW)).astype(np.uint8)
+    net = langid.train(windows, [["x", "y", "z"][i % 3] for i in range(20)], epochs=1)
+    got = net.scorer()(windows)
+    for w, logits in zip(windows, got):
+        embedded, pooled = net.embedding[w].astype(float), []
+        for width, f in zip(langid.WIDTHS, net.filters):
+            at = [sum(embedded[i + k] @ f[k].astype(float) for k in range(width)) for i in range(langid.WINDOW - width + 1)]
+            pooled.append(np.max(at, 0))
+        want = np.maximum(np.concatenate(pooled) + net.bias, 0) @ net.dense.astype(float) + net.offset
+        assert np.allclose(logits, want, atol=1e-3)
+
+
+def test_held_out_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred != 'und'").toPandas()
+    assert len(found) > 100 and (found.lang == found.lang_pred).mean() > 0.95
+
+
+def test_kneser_ney_against_a_loop(spark):
+    """Interpolated modified Kneser-Ney by dictionaries of counts."""
+    texts = ["hello world", "hello there, World 12", "abcabcabc abd", "zzz", "the theme thereof", "hello hello"]
+    model = quality.estimate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = np.exp(model.log_probabilities().astype(float))
+    order, classes = quality.ORDER, quality.CLASSES
+    counts = Counter()
+    for t in texts:
+        codes = [0] * (order - 1) + [int(quality.CLASS_OF[x]) for x in t.encode()] + [0]
+        counts.update(tuple(codes[i : i + order]) for i in range(len(t.encode()) + 1))
+    levels = {order: counts}
+    for n in range(order - 1, 0, -1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+    discounts = {}
+    for n, own in levels.items():
+        of = Counter(own.values())
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] else 0
+        discounts[n] = [max(quality.LEAST_DISCOUNT, k - (k + 1) * y * of[k + 1] / of[k]) if of[k] else quality.LEAST_DISCOUNT for k in (1, 2, 3)]
+        discounts[n] = [min(k, d) for k, d in zip((1, 2, 3), discounts[n])]
+
+    def p(gram):
+        n = len(gram)
+        if not n:
+            return 1 / classes
+        ext = [c for g, c in levels[n].items() if g[:-1] == gram[:-1]]
+        if not ext:
+            return p(gram[1:])
+        d = discounts[n]
+        c = levels[n][gram]
+        rest = sum(d[min(x, 3) - 1] for x in ext)
+        return (max(0, c - d[min(c, 3) - 1]) if c else 0) / sum(ext) + rest / sum(ext) * p(gram[1:])
+
+    rng = random.Random(1)
+    for gram in [*rng.sample(sorted(counts), 25), *(tuple(rng.randrange(classes) for _ in range(order)) for _ in range(25))]:
+        number = 0
+        for c in gram:
+            number = number * classes + c
+        assert got[number] == pytest.approx(p(gram), rel=1e-5)
+
+
+def resolved(url, href):
+    from urllib.parse import urljoin
+
+    return urljoin(url, href)
+
+
+def test_random_links_against_union_find(spark):
+    """Chains, hubs and cycles of canonical links and redirects, with relative and dotted targets, as Spark and as SQL."""
+    import duckdb
+
+    rng = random.Random(8)
+    hosts = ["a.org", "b.org", "c.net", "example.com", "www.example.com", "d.com"]
+    paths = ["/", "/en/", "/en/x", "/es/", "/es/y", "/fr/z", "/p/q/r", "/p/q/s", "/k"]
+    urls = [f"http://{h}{p}" for h in hosts for p in paths]
+    pages, edges = [], []
+    for i in range(220):
+        url = rng.choice(urls)
+        href = rng.choice([rng.choice(urls), rng.choice(paths), "../s", "./r", "r", "../../k", "/p/./q/../../k", "s?x#y", "https://hub.org/"])
+        tag = rng.choice([f'<link data-href="http://no.net/es/" rel="canonical" href="{href}">', f"<meta http-equiv=refresh content='0; url={href}'>", f'<link rel="stylesheet" href="{href}">', ""])
+        base = rng.choice(["", "", '<base href="http://d.com/p/q/">'])
+        pages.append((i, url, base + tag))
+        if "canonical" in tag or "refresh" in tag:
+            edges.append((url, resolved("http://d.com/p/q/" if base else url, href)))
+    strip = lambda u: u.split("://")[1].split("?")[0].split("#")[0]
+
+    def rule(node):
+        host, _, path = node.partition("/")
+        fits = [(len(r), v == "allow", r) for v, r in url_filter.RULES if (host == r.partition("/")[0] or host.endswith("." + r.partition("/")[0])) and ("/" + path).startswith("/" + r.partition("/")[2])]
+        return max(fits, default=None)
+
+    of = roots([(strip(a), strip(b)) for a, b in edges], {strip(x) for e in edges for x in e})
+    best = {}
+    for node, root in of.items():
+        if r := rule(node):
+            best[root] = max(best.get(root, False), r[1])
+    want = {}
+    for i, url, _ in pages:
+        own, node = rule(strip(url)), strip(url)
+        allow = own[1] if own else best.get(of.get(node), True)
+        want[i] = ("allow" if allow else "block", "rule" if own else "alias" if of.get(node) in best else "default")
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: (r.verdict, r.via) for r in url_filter.judge(df).collect()}
+    assert got == want and sum(via == "alias" for _, via in got.values()) > 10
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    found = con.execute(url_filter.SQL)
+    names = [d[0] for d in found.description]
+    assert {r[names.index("page_id")]: (r[names.index("verdict")], r[names.index("via")]) for r in found.fetchall()} == want
+
+
+def test_target_weights_are_a_parameter(spark):
+    rows = [(i, "a b c d e f g h", "en", f"src{i % 2 * 4}", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    tree = mixing.Tree(domains={"web": 3, "books": 1}, langs={}, sources={})
+    got = mixing.mix(docs, part=0.5, max_epochs=1, tree=tree).groupBy("domain").sum("n_tokens").collect()
+    assert {r[0]: r[1] for r in got} == {"web": 1200, "books": 400}
