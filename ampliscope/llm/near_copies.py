@@ -26,7 +26,8 @@ Shingles of over `PART` texts are paired in salted blocks.
 Texts that are equal after lower-casing A-Z and joining their words by spaces are one
 node. Defined cases: texts without a word, null ones too, are equal texts; with fewer
 than five words, the whole sequence is the one shingle. Rows without doc_id are kept.
-Of repeated rows one stays. An empty table gives an empty table. Columns may have any
+Of repeated rows one stays; different texts under one doc_id are one document, and a
+link of any of them is a link of it. An empty table gives an empty table. Columns may have any
 names. A shingle is its 64-bit hash.
 """
 
@@ -194,11 +195,8 @@ def _shingles(size: int, needed: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(needed[batch.column(2).to_numpy()]))
-            same, sets = [], []
-            for cell in batch.column(1).cast(pa.binary()):
-                words = _words(cell.as_py())
-                same.append(_same(words)), sets.append(_of_words(words, size).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.string()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "text_hash", "shingles"])
+            sets = [_features(cell.as_py(), size).view(np.int64) for cell in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "shingles"])
 
     return rows
 
@@ -240,8 +238,12 @@ def _by_blocks(same: DataFrame, similarity: float) -> DataFrame:
     two = within.select("k", F.col("rep").alias("b"), F.col("bits").alias("y"))
     all_pairs = one.where(F.col("n") <= HOT).join(two, "k").where((F.col("a") < F.col("b")) & near).select("a", "b")
     centre = one.where(F.col("n") > HOT).groupBy("k").agg(F.min_by(F.struct("a", "x"), F.xxhash64("a", "k")).alias("c")).select("k", "c.*")
-    star = two.join(materialize(centre, "centres"), "k").where((F.col("a") != F.col("b")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return materialize(all_pairs.unionByName(star).distinct(), "near")
+    centre = materialize(centre, "centres")
+    star = two.join(centre, "k").where((F.col("a") != F.col("b")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = materialize(all_pairs.unionByName(star).distinct(), "near")
+    for gone in (shared, within, centre):
+        discard(gone)
+    return found
 
 
 def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -253,10 +255,10 @@ def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame
     rows = rows.join(same.select("rep", "text_hash").hint("shuffle_hash"), ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"])
     rows = rows.join(found.select(F.col("node").alias("rep"), F.col("component").alias("of")).hint("shuffle_hash"), "rep", "left")
     rows = materialize(rows.withColumn("of", F.coalesce("of", "rep")), "firsts")
-    keyed = rows.select("rep", "text_hash", F.posexplode("firsts").alias("at", "k"))
+    keyed = rows.select("rep", F.posexplode("firsts").alias("at", "k"))
     of_key = rows.select("of", F.explode("firsts").alias("k")).groupBy("k").agg(F.count("*").alias("n"), F.min("of").alias("least"), F.max("of").alias("most"))
     shared = materialize(of_key.where("least < most").select("k", "n"), "buckets")
-    within = keyed.join(shared.hint("shuffle_hash"), "k").join(rows.select("rep", "text_hash", "of", "size", "flags"), ["rep", "text_hash"])
+    within = keyed.join(shared.hint("shuffle_hash"), "k").join(rows.select("rep", "of", "size", "flags"), "rep")
     # every text of a part meets every part of its shingle
     parts = F.ceil(F.col("n") / PART).cast("int")
     within = materialize(within.withColumns({"parts": parts, "p": F.pmod(F.xxhash64("rep"), parts).cast("int"), "left": F.col("size") - F.col("at")}), "candidates")
@@ -269,10 +271,13 @@ def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame
     enough = F.least("x", "y") >= both * (similarity / (1 + similarity)) - 1e-6
     alike = _differ("f", "g", FLAGS // 64) <= both * ((1 - similarity) / (1 + similarity)) + 1e-6
     pairs = one.join(two, ["k", "p", "q"]).where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b")) & enough & alike).select("a", "b")
-    return materialize(pairs.distinct(), "unmet")
+    found = materialize(pairs.distinct(), "unmet")
+    for gone in (rows, shared, within):
+        discard(gone)
+    return found
 
 
-def _similar(docs: DataFrame, same: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets of shingles are as similar."""
     need = materialize(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "needed")
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
@@ -280,14 +285,12 @@ def _similar(docs: DataFrame, same: DataFrame, pairs: DataFrame, size: int, simi
     needed = np.zeros(SLOTS, bool)
     needed[need.select(slot(F.col("rep")).alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
     texts = _plain(docs).where("doc_id is not null").withColumn("slot", slot(F.col("doc_id")))
-    sets = texts.mapInArrow(_shingles(size, needed), "rep long, text_hash string, shingles array<long>")
-    nodes = same.select("rep", "text_hash").join(need, "rep", "left_semi")
-    sets = materialize(sets.join(nodes, ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"]), "shingles")
-    left = materialize(pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a"), "pairs")
+    sets = materialize(texts.mapInArrow(_shingles(size, needed), "rep long, shingles array<long>"), "shingles")
+    left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    similar = materialize(both.where(common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b"), "similar")
-    for gone in (need, sets, left):
+    similar = materialize(both.where(common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b").distinct(), "similar")
+    for gone in (need, sets):
         discard(gone)
     return similar
 
@@ -298,11 +301,11 @@ def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILAR
     sketched = materialize(_plain(docs).where("doc_id is not null").mapInArrow(_sketches(size), SKETCH), "sketches")
     texts, common = sketched.where("slot is null"), sketched.where("slot is not null").select("slot", "n")
     same = materialize(texts.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "texts")
-    near = _similar(docs, same, _by_blocks(same, similarity), size, similarity)
+    near = _similar(docs, _by_blocks(same, similarity), size, similarity)
     found = connected_components(near, "a", "b")
     unmet = _unmet(docs, same, common, found, size, similarity)
     if not unmet.isEmpty():
-        found = connected_components(near.unionByName(_similar(docs, same, unmet, size, similarity)), "a", "b")
+        found = connected_components(near.unionByName(_similar(docs, unmet, size, similarity)), "a", "b")
     label = same.join(found, same["rep"] == found["node"], "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
     return texts.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
 
