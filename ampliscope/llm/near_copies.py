@@ -53,7 +53,7 @@ BITS = 64 * WORDS
 SLACK = 3.0
 #: Shingles of a class, about, and classes whose SimHash is a block.
 CLASS, BLOCKS = 8, 8
-HOT = 8
+HOT = 2
 #: Texts of a shingle that one block pairs with as many others.
 PART = 256
 #: Bits of a bitmap.
