@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import held_out, ship, slices, utf8
+from ampliscope.llm.common import held_out, ship, slices, trimmed, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -233,4 +233,4 @@ def identify(docs: DataFrame) -> DataFrame:
 def accept(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
     """The documents, all columns, whose language is known with a score of `least` or more."""
     ship(docs.sparkSession)
-    return docs.mapInArrow(_accepted(net, docs.columns.index("text"), least), docs.schema)
+    return docs.mapInArrow(trimmed(_accepted(net, docs.columns.index("text"), least)), docs.schema)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import discard, fresh, materialize, ship
+from ampliscope.llm.common import discard, fresh, materialize, ship, trimmed
 from ampliscope.llm.components import connected_components
 from ampliscope.llm.simhash import SEED
 
@@ -251,7 +251,7 @@ def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame
     # at most SLOTS rows, whatever the input
     counted = common.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     firsts = _prefixes(size, similarity, counted["slot"].to_numpy(), counted["n"].to_numpy())
-    rows = _plain(docs).where("doc_id is not null").mapInArrow(firsts, "rep long, text_hash string, size int, flags array<long>, firsts array<long>")
+    rows = _plain(docs).where("doc_id is not null").mapInArrow(trimmed(firsts), "rep long, text_hash string, size int, flags array<long>, firsts array<long>")
     rows = rows.join(same.select("rep", "text_hash").hint("shuffle_hash"), ["rep", "text_hash"], "left_semi").dropDuplicates(["rep", "text_hash"])
     rows = rows.join(found.select(F.col("node").alias("rep"), F.col("component").alias("of")).hint("shuffle_hash"), "rep", "left")
     rows = materialize(rows.withColumn("of", F.coalesce("of", "rep")), "firsts")
@@ -285,7 +285,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) ->
     needed = np.zeros(SLOTS, bool)
     needed[need.select(slot(F.col("rep")).alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
     texts = _plain(docs).where("doc_id is not null").withColumn("slot", slot(F.col("doc_id")))
-    sets = materialize(texts.mapInArrow(_shingles(size, needed), "rep long, shingles array<long>"), "shingles")
+    sets = materialize(texts.mapInArrow(trimmed(_shingles(size, needed)), "rep long, shingles array<long>"), "shingles")
     left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
@@ -298,7 +298,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) ->
 def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for every document with a doc_id; the component is its smallest doc_id."""
     ship(docs.sparkSession)
-    sketched = materialize(_plain(docs).where("doc_id is not null").mapInArrow(_sketches(size), SKETCH), "sketches")
+    sketched = materialize(_plain(docs).where("doc_id is not null").mapInArrow(trimmed(_sketches(size)), SKETCH), "sketches")
     texts, common = sketched.where("slot is null"), sketched.where("slot is not null").select("slot", "n")
     same = materialize(texts.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "texts")
     near = _similar(docs, _by_blocks(same, similarity), size, similarity)

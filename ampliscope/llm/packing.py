@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import materialize, ship, slices, utf8
+from ampliscope.llm.common import materialize, ship, slices, trimmed, utf8
 from ampliscope.llm.tokens import encoder, vocabulary_path
 
 SIZE = 2048
@@ -155,7 +155,7 @@ def _pieces(path: str, size: int):
 def pieces(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame:
     """The documents' ids with the end id, cut at `size` where longer: place, length and checksum."""
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pieces(path or vocabulary_path(), size), PIECE)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(_pieces(path or vocabulary_path(), size)), PIECE)
 
 
 def _place(runs: list[tuple], schema: str):
@@ -185,7 +185,7 @@ def place(cut: DataFrame, size: int = SIZE) -> DataFrame:
     own = F.row_number().over(Window.partitionBy(*group).orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = salted.withColumn("own", own).join(base, group).withColumn("rank", F.col("base") + F.col("own"))
     out = f"{PIECE}, sequence_id long, offset long"
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_place(plan.runs, out), out)
+    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(trimmed(_place(plan.runs, out)), out)
 
 
 def pack(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame:
