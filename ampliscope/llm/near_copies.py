@@ -20,8 +20,9 @@ those common in the corpus last; two sets of similarity s share one of the first
 n - ceil(s n) + 1 of each. Of the pairs that share one and aren't in one component yet,
 those are left out that can't reach s: by what lies behind the shared shingle, and by
 a bitmap of `FLAGS` bits that each shingle flips one of, as two bitmaps differ in no
-more bits than their sets in shingles. The rest is decided by the shingles of the two.
-Shingles of over `PART` texts are paired in salted blocks.
+more bits than their sets in shingles. As that one fills up in long texts, the pairs left
+are compared by bitmaps that grow with the text. The rest is decided by the shingles of the two.
+Shingles that the same texts hold among their first are paired once, those of over `PART` texts in salted blocks.
 
 Texts that are equal after lower-casing A-Z and joining their words by spaces are one
 node. Defined cases: texts without a word, null ones too, are equal texts; with fewer
@@ -56,8 +57,8 @@ CLASS, BLOCKS = 8, 8
 HOT = 2
 #: Texts of a shingle that one block pairs with as many others.
 PART = 256
-#: Bits of a bitmap.
-FLAGS = 512
+#: Bits of the bitmap that goes with every first shingle.
+FLAGS = 1024
 #: Counters of the shingles that are common; flags of the texts whose shingles are needed.
 SLOTS = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -127,12 +128,17 @@ def _wide(h: np.ndarray) -> np.ndarray:
     return np.packbits(ones * 2 > len(h), bitorder="little").view("<i8")
 
 
-def _flags(h: np.ndarray) -> np.ndarray:
-    """A bitmap that every shingle flips one bit of."""
-    flips = np.bincount((h >> np.uint64(8)).astype(np.int64) % FLAGS, minlength=FLAGS) & 1
+def _flags(h: np.ndarray, bits: int = FLAGS) -> np.ndarray:
+    """A bitmap that every shingle flips one bit of. Its halves' difference is the one of half as many bits."""
+    flips = np.bincount((h >> np.uint64(8)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(flips.astype(bool), bitorder="little").view("<i8")
 
 
+def _wide_flags(h: np.ndarray) -> np.ndarray:
+    """The bitmap of 2 to 4 bits for each shingle."""
+    return _flags(h, max(FLAGS, 1 << (2 * len(h) - 1).bit_length()))
+
+
 def _blocks(h: np.ndarray) -> np.ndarray:
     """The keys of the text's blocks, of the number of classes and the class with its SimHash."""
     keys = []
@@ -189,14 +195,15 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def _shingles(size: int, needed: np.ndarray):
-    """The shingles of the texts whose flag is needed."""
+def _shingles(size: int, needed: np.ndarray, of=lambda h: h.view(np.int64)):
+    """The number of shingles of the texts whose flag is needed, and the shingles or what `of` makes of them."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(needed[batch.column(2).to_numpy()]))
-            sets = [_features(cell.as_py(), size).view(np.int64) for cell in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "shingles"])
+            sets = [_features(cell.as_py(), size) for cell in batch.column(1).cast(pa.binary())]
+            made = pa.array([of(h) for h in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in sets], pa.int32()), made], names=["rep", "n", "shingles"])
 
     return rows
 
@@ -256,9 +263,11 @@ def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame
     rows = rows.join(found.select(F.col("node").alias("rep"), F.col("component").alias("of")).hint("shuffle_hash"), "rep", "left")
     rows = materialize(rows.withColumn("of", F.coalesce("of", "rep")), "firsts")
     keyed = rows.select("rep", F.posexplode("firsts").alias("at", "k"))
-    of_key = rows.select("of", F.explode("firsts").alias("k")).groupBy("k").agg(F.count("*").alias("n"), F.min("of").alias("least"), F.max("of").alias("most"))
-    shared = materialize(of_key.where("least < most").select("k", "n"), "buckets")
-    within = keyed.join(shared.hint("shuffle_hash"), "k").join(rows.select("rep", "of", "size", "flags"), "rep")
+    of_key = rows.select("rep", "of", F.explode("firsts").alias("k")).groupBy("k").agg(F.count("*").alias("n"), F.min("of").alias("least"), F.max("of").alias("most"), F.bit_xor("rep").alias("reps"))
+    # shingles of the same texts, as those of a passage, are one: the first of each text; lists that only hash alike may be
+    shared = materialize(of_key.where("least < most").select("k", "n", F.xxhash64("n", "least", "most", "reps").alias("same")), "buckets")
+    keyed = keyed.join(shared.hint("shuffle_hash"), "k").select("rep", F.col("same").alias("k"), "n", "at")
+    within = keyed.repartition("rep").groupBy("rep", "k", "n").agg(F.min("at").alias("at")).join(rows.select("rep", "of", "size", "flags"), "rep")
     # every text of a part meets every part of its shingle
     parts = F.ceil(F.col("n") / PART).cast("int")
     within = materialize(within.withColumns({"parts": parts, "p": F.pmod(F.xxhash64("rep"), parts).cast("int"), "left": F.col("size") - F.col("at")}), "candidates")
@@ -277,21 +286,47 @@ def _unmet(docs: DataFrame, same: DataFrame, common: DataFrame, found: DataFrame
     return found
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles are as similar."""
-    need = materialize(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "needed")
+def _sets(docs: DataFrame, pairs: DataFrame, size: int, **of) -> DataFrame:
+    """(rep, n, shingles) of every text of pairs, as a table; `of` as in _shingles()."""
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     # at most SLOTS rows, whatever the input; texts without a flag aren't read further
     needed = np.zeros(SLOTS, bool)
-    needed[need.select(slot(F.col("rep")).alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
+    needed[ends.select(slot(F.col("rep")).alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
     texts = _plain(docs).where("doc_id is not null").withColumn("slot", slot(F.col("doc_id")))
-    sets = materialize(texts.mapInArrow(trimmed(_shingles(size, needed)), "rep long, shingles array<long>"), "shingles")
-    left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b")
+    return materialize(texts.mapInArrow(trimmed(_shingles(size, needed, **of)), "rep long, n int, shingles array<long>"), "shingles")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, m, l, x, y): the pairs with what _sets() holds of both."""
+    left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("m"), F.col("shingles").alias("x")), "a")
+    return left.join(sets.select(F.col("rep").alias("b"), F.col("n").alias("l"), F.col("shingles").alias("y")), "b")
+
+
+def _hopeful(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) that sizes and wide bitmaps leave."""
+    sets = _sets(docs, pairs, size, of=_wide_flags)
+    half = lambda c: (F.size(c) / 2).cast("int")
+    xor = lambda x, y: F.zip_with(x, y, lambda v, w: v.bitwiseXOR(w))
+    halved = lambda c: xor(F.slice(c, F.lit(1), half(c)), F.slice(c, half(c) + 1, half(c)))
+    both = _with_sets(pairs, sets).where(F.least("m", "l") >= similarity * F.greatest("m", "l") - 1e-6)
+    x, y = F.col("x"), F.col("y")
+    both = both.withColumns({"x": F.when(F.size(x) > F.size(y), halved(x)).otherwise(x), "y": F.when(F.size(y) > F.size(x), halved(y)).otherwise(y)})
+    bits = F.aggregate(F.transform(xor(x, y), lambda v: F.bit_count(v).cast("int")), F.lit(0), lambda n, v: n + v)
+    # sizes more than a step apart, as a similarity under 1/2 allows, aren't compared
+    alike = (F.size(x) != F.size(y)) | (bits <= (F.col("m") + F.col("l")) * ((1 - similarity) / (1 + similarity)) + 1e-6)
+    left = materialize(both.where(alike).select("a", "b").distinct(), "hopeful")
+    discard(sets)
+    return left
+
+
+def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles are as similar."""
+    sets = _sets(docs, pairs, size)
     common = F.size(F.array_intersect("x", "y"))
-    similar = materialize(both.where(common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b").distinct(), "similar")
-    for gone in (need, sets):
-        discard(gone)
+    both = _with_sets(pairs, sets)
+    similar = materialize(both.where(common >= similarity * (F.col("m") + F.col("l") - common) - 1e-9).select("a", "b").distinct(), "similar")
+    discard(sets)
     return similar
 
 
@@ -305,7 +340,9 @@ def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILAR
     found = connected_components(near, "a", "b")
     unmet = _unmet(docs, same, common, found, size, similarity)
     if not unmet.isEmpty():
-        found = connected_components(near.unionByName(_similar(docs, unmet, size, similarity)), "a", "b")
+        hopeful = _hopeful(docs, unmet, size, similarity)
+        discard(unmet)
+        found = connected_components(near.unionByName(_similar(docs, hopeful, size, similarity)), "a", "b")
     label = same.join(found, same["rep"] == found["node"], "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
     return texts.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
 
