@@ -59,8 +59,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "lineitem")
     n, op = F.col("l_linenumber"), F.when(F.col("l_returnflag") == "A", "I").when(F.col("l_returnflag") == "N", "D").otherwise("S")
     aligner = F.when(n % 4 == 0, "minimap2").when(n % 4 == 1, "bwa").when(n % 4 == 2, "bbmap").otherwise("other")
-    cigar = F.concat(whole("l_quantity"), F.lit("M"), n, op, F.col("l_partkey") % 30 + 1, F.lit("M"))
+    quantity = whole(F.rint("l_quantity"))  # as SQL casts: halves to the even number
+    cigar = F.concat(quantity, F.lit("M"), n, op, F.col("l_partkey") % 30 + 1, F.lit("M"))
     return t.select(
         F.col("l_orderkey").alias("read_id"), n.alias("ordinal"), "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", aligner.alias("aligner"), F.floor(F.col("l_quantity") / 5).cast("double").alias("penalty"),
-        cigar.alias("cigar"), F.col("l_partkey").alias("start"), (n % 3 > 0).alias("is_mapped"), (whole("l_quantity") % 7).alias("nm"), (F.col("l_partkey") % 11).cast("long").alias("score"),
+        cigar.alias("cigar"), F.col("l_partkey").alias("start"), (n % 3 > 0).alias("is_mapped"), (quantity % 7).alias("nm"), (F.col("l_partkey") % 11).cast("long").alias("score"),
     )

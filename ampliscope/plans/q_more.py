@@ -43,9 +43,14 @@ def mismatch_signature(spark, sf_dir):
 
 @query(f"SELECT read_id, ordinal, l_suppkey, m AS mismatches, CASE WHEN is_mapped THEN (m + CASE WHEN f = 'R' THEN b ELSE 0 END)::DOUBLE ELSE 'inf'::DOUBLE END AS penalty, a + c + CASE WHEN f = 'N' THEN b ELSE 0 END AS span FROM (SELECT *, greatest(0, nm - CASE WHEN f != 'R' THEN b ELSE 0 END) AS m FROM ({ALIGNED}))")
 def alignment_penalty(spark, sf_dir):
-    m = C.alignment_mismatches(F.col("nm"), F.col("cigar"), F.lit(None).cast("string"))
-    rows = aligned(spark, sf_dir).withColumn("m", m)
-    return rows.select("read_id", whole("ordinal").alias("ordinal"), "l_suppkey", whole("m").alias("mismatches"), C.penalty(F.col("is_mapped"), F.col("m"), C.soft_clips(F.col("cigar"))).alias("penalty"), whole(C.span_md(F.col("cigar"))).alias("span"))
+    # without a flag the middle is neither edit nor clip; other flags are an insertion; unknown lengths leave out their operation
+    f, b, nm = F.col("l_returnflag"), F.col("ordinal"), F.col("nm")
+    op = F.when(f.isNull(), "H").when(f == "N", "D").when(f == "R", "S").otherwise("I")
+    middle, known = F.coalesce(F.concat(b, op), F.lit("")), b.isNotNull() | f.isNull() | (f == "R")
+    whole_cigar = F.concat(whole(F.rint("l_quantity")), F.lit("M"), F.when(f == "N", F.concat(b, op)).otherwise(middle), F.col("l_partkey") % 30 + 1, F.lit("M"))
+    rows = lines(spark, sf_dir).withColumns({"cigar": whole_cigar, "middle": middle}).withColumn("m", C.alignment_mismatches(F.when(known, nm), F.col("middle"), F.lit(None).cast("string")))
+    penalty = C.penalty(F.col("is_mapped"), F.col("m"), C.soft_clips(F.col("middle")))
+    return rows.select("read_id", whole("ordinal").alias("ordinal"), "l_suppkey", whole("m").alias("mismatches"), penalty.alias("penalty"), whole(C.span_md(F.col("cigar"))).alias("span"))
 
 
 @query(f"SELECT read_id, ordinal, l_suppkey, CASE WHEN s <= 40 AND 40 < s + a THEN 40 - s WHEN r <= 40 AND 40 < r + c THEN q + 40 - r END AS at FROM ({ALIGNED})")
