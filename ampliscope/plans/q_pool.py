@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ampliscope.functions import stats as S
@@ -137,8 +138,18 @@ def merge_need(spark, sf_dir):
 
 @query(f"""SELECT l_suppkey, CASE WHEN n > 100 AND c >= 0.7 THEN 'TruSeq' WHEN n > 100 AND p >= 20 AND c < 0.5 THEN 'Tn5' WHEN a > 2 * b AND a > 0 THEN 'Tn5' ELSE 'TruSeq' END AS type FROM (SELECT l_suppkey, count(*) AS n, avg(l_discount) * 10 AS c, count(DISTINCT l_partkey) AS p, avg(l_tax) AS a, avg(l_discount) AS b FROM lineitem GROUP BY l_suppkey)""")
 def library_type(spark, sf_dir):
-    t = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"), (F.avg("l_discount") * 10).alias("c"), F.countDistinct("l_partkey").alias("p"), F.avg("l_tax").alias("a"), F.avg("l_discount").alias("b"))
-    return t.select("l_suppkey", detect.library_type(F.col("c"), F.col("p"), F.col("n"), F.col("a"), F.col("b"))["type"].alias("type"))
+    t = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_discount", "l_tax", F.struct("_metadata.file_path", "_metadata.row_index").alias("row"))
+    made = lambda c, p, n, a, b: detect.library_type(c, p, n, a, b)["type"].alias("type")
+    means = t.groupBy("l_suppkey").agg(F.count("*").alias("n"), (F.avg("l_discount") * 10).alias("c"), F.countDistinct("l_partkey").alias("p"), F.avg("l_tax").alias("a"), F.avg("l_discount").alias("b"))
+    # at a limit the order of a sum decides: there it is the table's, however its rows are dealt to tasks
+    near = lambda x, y: F.coalesce(F.abs(x - y) < 1e-6, F.lit(False))
+    means = means.withColumn("at_limit", near(F.col("c"), F.lit(0.7)) | near(F.col("c"), F.lit(0.5)) | near(F.col("a"), 2 * F.col("b")) | near(F.col("a"), F.lit(0.0)))
+    limit = means.where("at_limit").select(F.col("l_suppkey").alias("own"), "n", "p")
+    so_far = Window.partitionBy("l_suppkey").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = t.join(limit, F.col("l_suppkey").eqNullSafe(F.col("own"))).select("l_suppkey", "n", "p", "row", F.avg("l_tax").over(so_far).alias("a"), F.avg("l_discount").over(so_far).alias("b"))
+    last = rows.groupBy("l_suppkey").agg(F.max_by(F.struct("n", "p", "a", "b"), "row").alias("x")).select("l_suppkey", "x.*")
+    found = means.where("not at_limit").select("l_suppkey", made(F.col("c"), F.col("p"), F.col("n"), F.col("a"), F.col("b")))
+    return found.unionByName(last.select("l_suppkey", made(F.col("b") * 10, F.col("p"), F.col("n"), F.col("a"), F.col("b"))))
 
 
 @query(f"SELECT a.t AS trim1, b.t AS trim2, count(*) AS shared FROM (SELECT DISTINCT t, substr(seq, t + 1) AS s FROM (SELECT seq, unnest(range(0, 7, 2)) AS t FROM ({_SEQ}) WHERE sample_id IN ('src0', 'src1')) WHERE length(seq) > t) a JOIN (SELECT DISTINCT t, substr(seq, t + 1) AS s FROM (SELECT seq, unnest(range(0, 7, 2)) AS t FROM ({_SEQ}) WHERE sample_id NOT IN ('src0', 'src1')) WHERE length(seq) > t) b USING (s) GROUP BY ALL")

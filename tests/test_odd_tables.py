@@ -32,6 +32,20 @@ def against_sql(spark, path, name):
     assert sorted((tuple(r) for r in got), key=repr) == sorted(found.fetchall(), key=repr)
 
 
+def test_library_type_at_a_limit_in_several_files(spark, tmp_path):
+    rows = []
+    for supplier in range(8):
+        cents = [1, 9, 0, 10, 4, 6, 5, 5, 2, 8, 3, 7] * 300  # a mean of 0.05, but for rounding
+        random.Random(supplier).shuffle(cents)
+        rows.append([(k % 1000, supplier, 1, 1.0, x / 100, 0.04, "A") for k, x in enumerate(cents)])
+    # each supplier's rows lie in both files
+    rows = [r for half in (0, 1) for own in rows for r in own[1800 * half : 1800 * half + 1800]]
+    none = [(1, None, 1, 1.0, 0.05, 0.04, "A")] * 75
+    rows = [*none, *rows, *none]
+    lineitem(tmp_path, rows)
+    against_sql(spark, tmp_path, "library_type")
+
+
 def test_alignment_penalty_of_odd_lines(spark, tmp_path):
     rng = random.Random(1)
     one = lambda: (rng.choice([None, 0, 7, 10**12]), 1, rng.choice([None, 0, 1, 2, 30]), rng.choice([None, 1.0, 2.5, 3.5, 20.7, 5.0]), 0.0, 0.0, rng.choice([None, "A", "N", "R", "X", ""]))
