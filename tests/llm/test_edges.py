@@ -196,3 +196,14 @@ def test_search(spark):
     same = int(np.floor(np.float32(0.5) * 256)) ** 2 + int(np.floor(float(np.float32(0.1)) * 256)) ** 2
     assert [r[:3] for r in got if r[0] == 0] == [(0, 1, 1), (0, 2, 1), (0, 3, 50), (0, 4, 7)] and got[0][3] == same
     assert cover_tree.top_k(df.limit(0)).collect() == []
+
+
+def test_quality_of_many_languages(docs, labels, monkeypatch):
+    monkeypatch.setattr(quality, "LEAST", 5)
+    trusted = labels.withColumn("quality", F.lit(1))
+    found, _ = quality.fit(docs, trusted, 0.5)
+    want, kept = sorted(quality.classify(docs, trusted, 0.5).collect(), key=str), sorted(quality.accept(docs, found).collect(), key=str)
+    monkeypatch.setattr(quality, "MOST_LANGS", 1)
+    found, _ = quality.fit(docs, trusted, 0.5)
+    assert sorted(quality.classify(docs, trusted, 0.5).collect(), key=str) == want
+    assert sorted(quality.accept(docs, found).collect(), key=str) == kept
