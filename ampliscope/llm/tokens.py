@@ -22,7 +22,11 @@ import numpy as np
 MOST_WORDS = 300_000
 VOCABULARY = "word_bpe_49k.json"
 #: Signs that end a word; after an ASCII letter or digit they are a token of their own.
-ENDING = re.compile(rb"([a-z0-9])([.,!?;:$%&*#|]+)(?=[ \t-\r]|$)")
+ENDING = re.compile(rb"[.,!?;:$%&*#|](?<=[a-z0-9].)[.,!?;:$%&*#|]*(?=[ \t-\r]|$)")
+#: Small letters below this are one piece for the model, and no two of them are composed to another.
+PLAIN = "\u0250"
+#: The characters that stand for bytes in the model's vocabulary, where they aren't those of Latin-1.
+OF_BYTES = {b: 256 + i for i, b in enumerate((*range(33), *range(127, 161), 173))}
 #: What may start a special token, which is found before lower-casing.
 SPECIAL = b"<|"
 
@@ -47,8 +51,11 @@ class Words(dict):
         packed = self.old.get(word)
         if packed is None:
             text = word.decode()
-            # a run of ASCII letters is one piece for the model
-            ids = [t.id for t in self.model.tokenize(text)] if word.isalpha() and word.islower() else self.tokenizer.encode(text, add_special_tokens=False).ids
+            if text.isalpha() and text.islower() and max(text) < PLAIN:
+                piece = text if text.isascii() else word.decode("latin-1").translate(OF_BYTES)
+                ids = [t.id for t in self.model.tokenize(piece)]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= self.most:
             self.old = dict(self)
@@ -65,7 +72,7 @@ class Encoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         for text in texts:
             if SPECIAL not in text:
-                text = ENDING.sub(rb"\1 \2", text.lower())  # of bytes: A-Z only
+                text = ENDING.sub(rb" \g<0>", text.lower())  # of bytes: A-Z only
             # of bytes: at the six ASCII spaces only
             yield np.frombuffer(b"".join(map(self.ids_of, text.split())), dtype="<u4")
 
