@@ -9,13 +9,15 @@ which gives each a kth score to beat; then only the cells whose bound reaches it
 Where a block of points meets the queries that come to it, each side gets a cover
 tree. A node has a centre (one of its points), a covering radius and children; the
 children's covering radius is smaller by `BASE`, and their centres lie further apart
-than it. A pair of nodes is searched depth first, best bound first, and left out if
+than it. What is left of a node where such children would hold next to nothing, as in
+many dimensions without clusters, stays one leaf, however large, and meets queries in
+matrix products. A pair of nodes is searched depth first, best bound first, and left out if
 no query below the one can gain from any point below the other: the inner product of
 any two of their points is at most
 (q + dq) . (r + dr) <= q.r + |r| Rq + |q| Rr + Rq Rr, and the group of queries has a
 worst kth score, which starts from the scores that the queries bring along.
 
-Scores are whole numbers, computed as doubles where they stay below 2^53 and else as
+Scores are whole numbers, computed as floats or doubles where these hold them exactly and else as
 64-bit integers (beyond 2^63 they wrap), so ties are exact and go to the smaller id.
 Pivots, radii and counts are all that the driver sees: at most `PIVOTS` rows, and one
 for each length of vector that the sample lacks.
@@ -48,8 +50,10 @@ POINTS, QUERIES = 8192, 2048
 PIVOTS, EACH, SAMPLE = 1024, 2048, 16_384
 #: A node of so many points or fewer isn't split.
 LEAF = 64
-#: Leaves that a leaf of queries meets at a time.
-TOGETHER = 16
+#: A child of fewer points doesn't pay for its visits; after so many of them it is tried whether others would.
+FEW, TRIES = 16, 16
+#: Leaves that a leaf of queries meets at a time, and queries.
+TOGETHER, ABREAST = 16, 1024
 #: By how much the covering radius shrinks from a node to its children.
 BASE = 1.3
 
@@ -82,6 +86,11 @@ class CoverTree:
         d = self.vectors[rows] - self.vectors[centre]
         return np.sqrt(np.einsum("ij,ij->i", d, d))
 
+    def _scattered(self, rows: np.ndarray, scale: float) -> bool:
+        """Whether a child of this scale would hold few of the rows, by some of them."""
+        some = rows[:: max(1, len(rows) // TRIES)]
+        return sum(int((self._distances(rows, int(i)) <= scale).sum()) for i in some) < FEW * len(some)
+
     def _build(self, rows: np.ndarray, centre: int, distance: np.ndarray) -> Node:
         """The node of `rows` around `centre`, split until few or equal points are left."""
         radius = float(distance.max())
@@ -89,14 +98,27 @@ class CoverTree:
         if len(rows) <= LEAF or radius == 0:
             return node
         scale, left, near, at = radius / BASE, rows, distance, centre
+        parts, small = [], []
         while len(left):
             # the points within the scale of this centre are its child's; the next centre lies beyond it
             inside = near <= scale
-            node.children.append(self._build(left[inside], at, near[inside]))
+            part = left[inside], at, near[inside]
+            few = len(part[0]) < FEW
+            (small if few else parts).append(part)
             left, distance = left[~inside], distance[~inside]
+            if few and not len(small) % TRIES and self._scattered(left, scale):
+                break
             if len(left):
                 at = int(left[np.argmax(distance)])
                 near = self._distances(left, at)
+        if len(left):
+            if not parts:
+                return node
+            rest, at = np.concatenate([own for own, _, _ in small] + [left]), small[0][1]
+            node.children.append(Node(at, float(self._distances(rest, at).max()), rest))
+        else:
+            parts += small
+        node.children += [self._build(*part) for part in parts]
         centres = np.array([c.centre for c in node.children])
         node.vectors, node.norms = self.vectors[centres], self.norms[centres]
         node.radii = np.array([c.radius for c in node.children])
@@ -122,8 +144,9 @@ class Search:
         self.best_id = np.full((len(query_ids), k), np.iinfo(np.int64).max)
         self.floor = np.full(len(query_ids), NOTHING) if floor is None else floor
         most = float(queries.norms.max() * points.norms.max())
-        # doubles hold these sums exactly
-        self.small = most < 2.0**52
+        # a type that holds these sums exactly
+        kind = np.float32 if most < 2.0**23 else np.float64 if most < 2.0**52 else None
+        self.left, self.right = (t.whole if kind is None else t.vectors.astype(kind, copy=False) for t in (queries, points))
         self.slack = 0.5 + most * 1e-9
         self._visit(queries.root, points.root)
 
@@ -161,28 +184,49 @@ class Search:
                 self._visit(q, r.children[i])
 
     def _base(self, q: Node, points: np.ndarray) -> None:
-        if self.small:
-            score = (self.queries.vectors[q.points] @ self.points.vectors[points].T).astype(np.int64)
-        else:
-            score = self.queries.whole[q.points] @ self.points.whole[points].T
-        # an equal score may still win by its id
-        gains = (score >= self._need(q.points)[:, None]) & (self.ids[points] != self.query_ids[q.points][:, None])
-        rows = np.flatnonzero(gains.any(1))
-        if len(rows):
-            columns = np.flatnonzero(gains[rows].any(0))
-            own, gains = q.points[rows], gains[np.ix_(rows, columns)]
-            scores = np.where(gains, score[np.ix_(rows, columns)], NOTHING)
-            ids = np.where(gains, self.ids[points[columns]], np.iinfo(np.int64).max)
-            scores, ids = np.concatenate((self.best_score[own], scores), 1), np.concatenate((self.best_id[own], ids), 1)
-            # of whole numbers, -x - 1 turns the order round without overflow
-            order = np.lexsort((ids, ~scores))[:, : self.k]
-            self.best_score[own], self.best_id[own] = np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+        for i in range(0, len(points), TOGETHER * LEAF):
+            for j in range(0, len(q.points), ABREAST):
+                self._block(q.points[j : j + ABREAST], points[i : i + TOGETHER * LEAF])
         q.worst = max(q.worst, float(self._need(q.points).min()))
 
-    def rows(self) -> Iterator[tuple[int, int, int]]:
+    def _block(self, rows: np.ndarray, points: np.ndarray) -> None:
+        points = points[np.argsort(self.ids[points], kind="stable")]
+        ids, own, k = self.ids[points], self.query_ids[rows], self.k
+        score = self.left[rows] @ self.right[points].T
+        # an equal score may still win by its id
+        gains = score >= self._need(rows).astype(score.dtype)[:, None]
+        itself = np.flatnonzero(np.isin(ids, own))
+        gains[:, itself] &= ids[itself] != own[:, None]
+        many = np.flatnonzero(np.count_nonzero(gains, axis=1) > 2 * k)
+        if len(many):
+            # only the k best of these can stay, of equal ones the first
+            mine = gains[many]
+            scores = np.where(mine, score[many], NOTHING)
+            kth = np.partition(scores, -k, axis=1)[:, -k, None]
+            mine &= scores >= kth
+            equal = mine & (scores == kth)
+            if np.count_nonzero(equal) > 2 * k * len(many):
+                mine &= ~equal | (np.cumsum(equal, axis=1) <= k)
+            gains[many] = mine
+        row, column = np.nonzero(gains)
+        if not len(row):
+            return
+        changed = np.unique(row)
+        at = rows[changed]
+        row = np.concatenate((row, np.repeat(changed, k)))
+        scores = np.concatenate((score[gains].astype(np.int64), self.best_score[at].ravel()))
+        found = np.concatenate((ids[column], self.best_id[at].ravel()))
+        # of whole numbers, -x - 1 turns the order round without overflow
+        order = np.lexsort((found, ~scores, row))
+        first = np.searchsorted(row[order], changed)
+        order = order[first[:, None] + np.arange(k)]
+        self.best_score[at], self.best_id[at] = scores[order], found[order]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all that was found: the query's row, the point's id and the score."""
         found = (self.best_score > NOTHING) | (self.best_id < np.iinfo(np.int64).max)
-        for i, j in zip(*np.nonzero(found & (self.best_score >= self.floor[:, None]))):
-            yield int(i), int(self.best_id[i, j]), int(self.best_score[i, j])
+        row, place = np.nonzero(found & (self.best_score >= self.floor[:, None]))
+        return row, self.best_id[row, place], self.best_score[row, place]
 
 
 def spread(vectors: np.ndarray, most: int) -> np.ndarray:
@@ -277,7 +321,8 @@ def _meet(k: int):
         ids, row = queries["vec_id"].to_numpy(), queries["query_row"].to_numpy()
         trees = CoverTree(np.stack(queries["v"].to_numpy())), CoverTree(np.stack(points["v"].to_numpy()))
         found = Search(trees[0], ids, trees[1], points["vec_id"].to_numpy(), k, queries["floor"].to_numpy().astype(np.int64))
-        return pd.DataFrame([(row[i], ids[i], own, score) for i, own, score in found.rows()], columns=COLUMNS).astype("int64")
+        i, own, score = found.rows()
+        return pd.DataFrame(dict(zip(COLUMNS, (row[i], ids[i], own, score))))
 
     return rows
 
