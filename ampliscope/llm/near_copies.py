@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampliscope.llm.common import discard, fresh, materialize, ship, trimmed
+from ampliscope.llm.common import discard, fresh, materialize, settle, ship, trimmed
 from ampliscope.llm.components import connected_components
 from ampliscope.llm.simhash import SEED
 
@@ -332,17 +332,23 @@ def _similar(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) ->
 
 def components(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, component_id) for every document with a doc_id; the component is its smallest doc_id."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     sketched = materialize(_plain(docs).where("doc_id is not null").mapInArrow(trimmed(_sketches(size)), SKETCH), "sketches")
     texts, common = sketched.where("slot is null"), sketched.where("slot is not null").select("slot", "n")
     same = materialize(texts.groupBy("text_hash").agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("blocks").alias("blocks")), "texts")
     near = _similar(docs, _by_blocks(same, similarity), size, similarity)
+    settle(spark)
     found = connected_components(near, "a", "b")
+    settle(spark)
     unmet = _unmet(docs, same, common, found, size, similarity)
+    settle(spark)
     if not unmet.isEmpty():
         hopeful = _hopeful(docs, unmet, size, similarity)
         discard(unmet)
+        settle(spark)
         found = connected_components(near.unionByName(_similar(docs, hopeful, size, similarity)), "a", "b")
+        settle(spark)
     label = same.join(found, same["rep"] == found["node"], "left").select("text_hash", F.coalesce("component", "rep").alias("component_id"))
     return texts.select("doc_id", "text_hash").join(materialize(label, "labels"), "text_hash").select("doc_id", "component_id")
 
